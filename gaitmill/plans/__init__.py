@@ -1 +1,6 @@
 """Bindings of the operators to concrete tables."""
+
+from gaitmill.plans import cleaning
+from gaitmill.plans.registry import REGISTRY
+
+__all__ = ["REGISTRY", "cleaning"]
