@@ -146,7 +146,7 @@ def repeated_ids(manifest: DataFrame, key: str, order: str) -> DataFrame:
     is aggregated map-side and never gathered in one task. The join back is on
     the first occurrence itself, which is unique.
     """
-    named = manifest.where((F.col(key).isNotNull()) & (F.col(key) != ""))
+    named = manifest.where(F.col(key).cast("string") != "")
     firsts = named.groupBy(key).agg(F.min(order).alias(order)).select(order)
     marked = firsts.withColumn("_first", F.lit(True))
     return (

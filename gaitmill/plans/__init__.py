@@ -1,6 +1,23 @@
 """Bindings of the operators to concrete tables."""
 
-from gaitmill.plans import cleaning
+from gaitmill.plans import (
+    balancing,
+    checking,
+    cleaning,
+    distributions,
+    measuring,
+    posing,
+    washing,
+)
 from gaitmill.plans.registry import REGISTRY
 
-__all__ = ["REGISTRY", "cleaning"]
+__all__ = [
+    "REGISTRY",
+    "balancing",
+    "checking",
+    "cleaning",
+    "distributions",
+    "measuring",
+    "posing",
+    "washing",
+]
