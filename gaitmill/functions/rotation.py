@@ -100,6 +100,31 @@ def rotate(q: Quat, v: Vec) -> Vec:
     return Vec(*[p + q.w * o + t for p, o, t in zip(v, once, twice)])
 
 
+Matrix = tuple[Vec, Vec, Vec]
+
+
+def matrix(q: Quat) -> Matrix:
+    """Rows of the rotation matrix of a unit quaternion.
+
+    Turning many vectors by one rotation: compute these nine columns once per row
+    and refer to them, rather than to the quaternion.
+    """
+    w, x, y, z = q
+    return (
+        Vec(1.0 - 2.0 * (y * y + z * z), 2.0 * (x * y - w * z), 2.0 * (x * z + w * y)),
+        Vec(2.0 * (x * y + w * z), 1.0 - 2.0 * (x * x + z * z), 2.0 * (y * z - w * x)),
+        Vec(2.0 * (x * z - w * y), 2.0 * (y * z + w * x), 1.0 - 2.0 * (x * x + y * y)),
+    )
+
+
+def transform(rows: Matrix, v: Vec) -> Vec:
+    return Vec(*[dot(row, v) for row in rows])
+
+
+def named(prefix: str, names: str = "xyz") -> list[Column]:
+    return [F.col(f"{prefix}{n}") for n in names]
+
+
 def angle_degrees(q: Quat) -> Column:
     """Rotation angle of a unit quaternion, 0 to 180."""
     return F.degrees(2.0 * F.acos(F.least(F.abs(q.w), F.lit(1.0))))

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaitmill.functions import rotation as rot
 from gaitmill.functions.rotation import Quat
@@ -56,7 +57,14 @@ def pair_moments(
     )
 
 
-FIT = "struct<rotation:array<double>,translation:array<double>,rms:double,angle_deg:double>"
+FIT = T.StructType(
+    [
+        T.StructField("rotation", T.ArrayType(T.DoubleType())),
+        T.StructField("translation", T.ArrayType(T.DoubleType())),
+        T.StructField("rms", T.DoubleType()),
+        T.StructField("angle_deg", T.DoubleType()),
+    ]
+)
 
 
 @F.pandas_udf(FIT)

@@ -65,21 +65,31 @@ def world_pose(joints: Column) -> Column:
     )
 
 
-def component_pose(
-    joints: Column, root: Column, *, keep_height: bool = False, ground_cm: float = 0.0
-) -> Column:
-    """Pose in world axes (cm) from component space: the mesh is turned by -90
-    degrees against the actor. The height is pinned to 0 unless kept."""
-    actor = rot.unit(rot.quat_xyzw(root["q"]))
-    mesh = rot.multiply(actor, rot.yaw(MESH_YAW_DEGREES))
-    at = rot.vec(root["p"])
-    origin = Vec(at.x, at.y, at.z - ground_cm if keep_height else F.lit(0.0))
+def component_poses(
+    frames: DataFrame, *, keep_height: bool = False, ground_cm: float = 0.0
+) -> DataFrame:
+    """Add ``pose`` in world axes (cm) from the component space of ``joints``: the
+    mesh is turned by -90 degrees against the actor (``root``). The height is
+    pinned to 0 unless kept."""
+    actor = rot.unit(rot.quat_xyzw(F.col("root")["q"]))
+    frames = frames.withColumns({f"_a{n}": c for n, c in zip("wxyz", actor)})
+    mesh = rot.multiply(Quat(*rot.named("_a", "wxyz")), rot.yaw(MESH_YAW_DEGREES))
+    frames = frames.withColumns({f"_m{n}": c for n, c in zip("wxyz", mesh)})
+    mesh = Quat(*rot.named("_m", "wxyz"))
+    turned = {f"_r{i}": F.array(*row) for i, row in enumerate(rot.matrix(mesh))}
+    at = rot.vec(F.col("root")["p"])
+    height = at.z - ground_cm if keep_height else F.lit(0.0)
+    frames = frames.withColumns(turned | {"_ox": at.x, "_oy": at.y, "_oz": height})
+    rows = [rot.vec(F.col(f"_r{i}")) for i in range(3)]
+    origin = Vec(*rot.named("_o"))
 
     def place(j: Column) -> Column:
-        p = rot.add(rot.rotate(mesh, rot.vec(j["cp"])), origin)
+        p = rot.add(rot.transform(rows, rot.vec(j["cp"])), origin)
         return joint(j["n"], p, rot.multiply(mesh, rot.unit(rot.quat_xyzw(j["cq"]))))
 
-    return F.transform(joints, place)
+    helpers = [f"_a{n}" for n in "wxyz"] + [f"_m{n}" for n in "wxyz"]
+    helpers += [*turned, "_ox", "_oy", "_oz"]
+    return frames.withColumn("pose", F.transform("joints", place)).drop(*helpers)
 
 
 def scaled_pose(pose: Column, factor: Column | float) -> Column:
@@ -156,12 +166,20 @@ def recentred(pose: Column, x: Column, y: Column) -> Column:
     return map_positions(pose, lambda p: Vec(p.x - x, p.y - y, p.z))
 
 
+def with_root(poses: DataFrame, pose: str = "pose", root: str = ROOT) -> DataFrame:
+    """Add the root position as ``root_x, root_y, root_z``, looked up once."""
+    found = poses.withColumn("_root", find(F.col(pose), root))
+    return found.withColumns(
+        {f"root_{n}": F.col("_root")[n] for n in "xyz"}
+    ).drop("_root")
+
+
 def scaled_about_root(
-    pose: Column, factors: Mapping[str, float], root: str = ROOT
+    pose: Column, factors: Mapping[str, float], centre: Vec, root: str = ROOT
 ) -> Column:
-    """``(p - root) * s + s_root * root``; joints outside the table are dropped."""
+    """``(p - root) * s + s_root * root``; joints outside the table are dropped.
+    ``centre`` is the root position, as columns of the row."""
     table = literal_table({n: (s,) for n, s in factors.items()}, 1)
-    centre = position(find(pose, root))
     anchor = rot.times(centre, F.lit(float(factors[root])))
 
     def place(j: Column) -> Column:

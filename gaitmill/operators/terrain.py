@@ -37,20 +37,34 @@ def placed_meshes(
     return instances.join(usable, ["terrain_hash", "mesh_idx"])
 
 
-def _instance_transform(align: Rigid | None, ground_cm: float, data_scale: float):
-    turn = rot.unit(rot.quat_xyzw(F.col("rotation_quat_xyzw")))
-    stretch, shift = rot.vec(F.col("scale")), rot.vec(F.col("location"))
-
-    def place(v: Vec) -> Vec:
-        p = rot.add(rot.rotate(turn, rot.scaled(v, stretch)), shift)
-        p = rot.times(Vec(p.x, p.y, p.z - ground_cm), data_scale)
-        return align.apply(rot.to_robot_axes(p)) if align else p
-
-    def direction(v: Vec) -> Vec:
-        d = rot.rotate(turn, rot.scaled(v, stretch))
-        return align.turn(rot.to_robot_axes(d)) if align else d
-
-    return place, direction
+def _with_transform(
+    placed: DataFrame, align: Rigid | None, ground_cm: float, data_scale: float
+) -> DataFrame:
+    """Add the affine map of each instance, rows ``_r0 .. _r2`` and ``_shift``:
+    stretch, turn, move, lower to the ground, scale, change axes, align."""
+    q = rot.unit(rot.quat_xyzw(F.col("rotation_quat_xyzw")))
+    placed = placed.withColumns({f"_q{n}": c for n, c in zip("wxyz", q)})
+    stretch, loc = rot.vec(F.col("scale")), rot.vec(F.col("location"))
+    rows = rot.matrix(rot.Quat(*rot.named("_q", "wxyz")))
+    rows = [rot.times(rot.scaled(row, stretch), data_scale) for row in rows]
+    shift = rot.times(Vec(loc.x, loc.y, loc.z - ground_cm), data_scale)
+    if align:
+        rows = [rot.times(rows[i], rot.CM_TO_M) for i in (1, 0, 2)]
+        shift = rot.to_robot_axes(shift)
+    names = [f"_m{i}{n}" for i in range(3) for n in "xyz"]
+    flat = [c for row in rows for c in row]
+    placed = placed.withColumns(
+        dict(zip(names, flat)) | {f"_s{n}": c for n, c in zip("xyz", shift)}
+    )
+    base = [Vec(*rot.named(f"_m{i}")) for i in range(3)]
+    moved = Vec(*rot.named("_s"))
+    if align:
+        columns = [Vec(*[getattr(r, n) for r in base]) for n in "xyz"]
+        turned = [align.turn(c) for c in columns]
+        base = [Vec(*[t[i] for t in turned]) for i in range(3)]
+        moved = align.apply(moved)
+    out = {f"_r{i}": F.array(*base[i]) for i in range(3)} | {"_shift": F.array(*moved)}
+    return placed.withColumns(out).drop(*names, *[f"_q{n}" for n in "wxyz"], "_sx", "_sy", "_sz")
 
 
 def _struct(v: Vec) -> Column:
@@ -76,15 +90,19 @@ def world_geometry(
     normals; without normals, when the instance transform mirrors. With the axis
     swap, that is a positive product of the scales.
     """
-    place, direction = _instance_transform(align, ground_cm, data_scale)
+    rows = [rot.vec(F.col(f"_r{i}")) for i in range(3)]
+    shift = rot.vec(F.col("_shift"))
     n_faces = F.floor(F.size("indices") / 3).cast("int")
     has_normals = F.coalesce(F.size("normals") == F.size("vertices"), F.lit(False))
-    moved = placed.withColumns(
+    mapped = _with_transform(placed, align, ground_cm, data_scale)
+    moved = mapped.withColumns(
         {
-            "world": F.transform("vertices", lambda v: _struct(place(rot.vec(v)))),
+            "world": F.transform(
+                "vertices", lambda v: _struct(rot.add(rot.transform(rows, rot.vec(v)), shift))
+            ),
             "turned": F.when(
                 has_normals,
-                F.transform("normals", lambda v: _struct(direction(rot.vec(v)))),
+                F.transform("normals", lambda v: _struct(rot.transform(rows, rot.vec(v)))),
             ),
             "n_vertices": F.size("vertices"),
             "mirrored": (F.get("scale", F.lit(0)) * F.get("scale", F.lit(1))
@@ -104,7 +122,7 @@ def world_geometry(
 
     faced = moved.withColumn(
         "faces", F.transform(F.sequence(F.lit(0), n_faces - 1), face)
-    ).drop("vertices", "normals", "indices", "turned", "mirrored")
+    ).drop("vertices", "normals", "indices", "turned", "mirrored", "_r0", "_r1", "_r2", "_shift")
     sizes = faced.select("terrain_hash", "instance_idx", "n_vertices")
     numbered = (
         Track.of(sizes, ["terrain_hash"], ["instance_idx"], max_rows=max_rows)
@@ -373,6 +391,16 @@ def interacted_instances(recordings: DataFrame, key: Sequence[str]) -> DataFrame
     )
 
 
+def interaction_agreement(
+    interacted: DataFrame, near: DataFrame, key: Sequence[str]
+) -> DataFrame:
+    """Recorded interactions with ``is_near``: whether the instance also lies near
+    the trajectory of its recording."""
+    found = near.select(*key, "instance_idx").distinct().withColumn("_near", F.lit(True))
+    joined = interacted.join(found, [*key, "instance_idx"], "left")
+    return joined.withColumn("is_near", F.coalesce("_near", F.lit(False))).drop("_near")
+
+
 def terrain_usage(motions: DataFrame) -> DataFrame:
     """Motions, frames and the common data scale per terrain."""
     used = motions.withColumn("terrain_ref", present(F.col("terrain_ref")))

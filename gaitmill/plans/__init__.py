@@ -4,7 +4,9 @@ from gaitmill.plans import (
     balancing,
     checking,
     cleaning,
+    discovering,
     distributions,
+    landscape,
     measuring,
     posing,
     washing,
@@ -16,7 +18,9 @@ __all__ = [
     "balancing",
     "checking",
     "cleaning",
+    "discovering",
     "distributions",
+    "landscape",
     "measuring",
     "posing",
     "washing",

@@ -143,7 +143,7 @@ def frame_offsets(spark, sf_dir):
     COMMANDS_SQL
     + """, n AS (SELECT recording_id, COUNT(*) AS n FROM cmd GROUP BY ALL)
 SELECT cmd.recording_id, i AS frame_idx, event_id, value FROM cmd JOIN n USING (recording_id)
-WHERE i = CAST(floor(37.3 * (30 + recording_id % 4 * 10)) AS BIGINT) % n"""
+WHERE i = CAST(floor(CAST(37.3 AS DOUBLE) * (30 + recording_id % 4 * 10)) AS BIGINT) % n"""
 )
 def clock_lookup(spark, sf_dir):
     frames = numbered_events(spark, sf_dir)

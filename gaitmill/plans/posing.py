@@ -129,8 +129,8 @@ def component_to_world(spark, sf_dir):
     rows = load(spark, sf_dir, "embeddings").select(
         "vec_id", F.array(*[joint(o, n) for o, n in enumerate(JOINTS)]).alias("joints"), root.alias("root")
     )
-    pose = geo.component_pose(F.col("joints"), F.col("root"), keep_height=True, ground_cm=0.5)
-    joints = geo.joint_table(rows.select("vec_id", pose.alias("pose")), ["vec_id"]).drop("joint_idx")
+    placed = geo.component_poses(rows, keep_height=True, ground_cm=0.5)
+    joints = geo.joint_table(placed, ["vec_id"]).drop("joint_idx")
     return rounded(joints, *XYZ, *QW)
 
 
@@ -166,12 +166,12 @@ _root_factor = lit(FACTORS["pelvis"])
 )
 def scale_about_root(spark, sf_dir):
     """Recentre on the root, scale about it, and put the offset back."""
-    rows = poses(spark, sf_dir)
-    x, y = geo.root_xy(F.col("pose"))
-    rows = rows.withColumns({"rx": x, "ry": y})
-    local = geo.recentred(F.col("pose"), F.col("rx"), F.col("ry"))
-    rows = rows.withColumn("pose", geo.scaled_about_root(local, FACTORS))
-    rows = rows.withColumn("pose", geo.recentred(F.col("pose"), -F.col("rx"), -F.col("ry")))
+    rows = geo.with_root(poses(spark, sf_dir))
+    x, y, z = rot.named("root_")
+    rows = rows.withColumn("pose", geo.recentred(F.col("pose"), x, y))
+    centre = Vec(F.lit(0.0), F.lit(0.0), z)
+    rows = rows.withColumn("pose", geo.scaled_about_root(F.col("pose"), FACTORS, centre))
+    rows = rows.withColumn("pose", geo.recentred(F.col("pose"), -x, -y))
     joints = geo.joint_table(rows, ["vec_id"]).select("vec_id", "joint", *XYZ)
     return rounded(joints, *XYZ)
 
@@ -249,6 +249,12 @@ def ball_align(spark, sf_dir):
 # -- commands and orientation ------------------------------------------------------------
 
 _look = linear(ALIGN.rotation, ("sin(radians(look))", "cos(radians(look))", "0"))
+
+
+def _single(e: str) -> str:
+    return f"round(CAST(CAST({e} AS FLOAT) AS DOUBLE), 5)"
+
+
 _inverse = rotated(("w", "(-x)", "(-y)", "(-z)"), ("v0", "v1", "v2"))
 
 
@@ -258,10 +264,10 @@ _inverse = rotated(("w", "(-x)", "(-y)", "(-z)"), ("v0", "v1", "v2"))
 u AS (SELECT *, sqrt(e0*e0 + e1*e1 + e2*e2 + e3*e3) AS n, e10 * 180 AS look FROM e),
 c AS (SELECT *, e3 / n AS w, e0 / n AS x, e1 / n AS y, e2 / n AS z, e4 * 100 AS v0, e5 * 100 AS v1,
         e6 * 100 AS v2 FROM u)
-SELECT vec_id, round({_look[0]}, 5) AS look_x, round({_look[1]}, 5) AS look_y,
-  round(e8, 5) AS move_forward, round(e7, 5) AS move_right,
-  round({_inverse[0]} * 0.01, 5) AS vel_forward, round(-{_inverse[1]} * 0.01, 5) AS vel_left,
-  round(-e11, 5) AS yaw_rate, e12 > 0 AS jump, FALSE AS crouch, e13 > 0 AS sprint, e14 > 0 AS walk
+SELECT vec_id, {_single(_look[0])} AS look_x, {_single(_look[1])} AS look_y,
+  {_single("e8")} AS move_forward, {_single("e7")} AS move_right,
+  {_single(_inverse[0] + " * 0.01")} AS vel_forward, {_single("-" + _inverse[1] + " * 0.01")} AS vel_left,
+  {_single("-e11")} AS yaw_rate, e12 > 0 AS jump, FALSE AS crouch, e13 > 0 AS sprint, e14 > 0 AS walk
 FROM c"""
 )
 def command_table(spark, sf_dir):
