@@ -37,42 +37,7 @@ def placed_meshes(
     return instances.join(usable, ["terrain_hash", "mesh_idx"])
 
 
-def _with_transform(
-    placed: DataFrame, align: Rigid | None, ground_cm: float, data_scale: float
-) -> DataFrame:
-    """Add the affine map of each instance, rows ``_r0 .. _r2`` and ``_shift``:
-    stretch, turn, move, lower to the ground, scale, change axes, align."""
-    q = rot.unit(rot.quat_xyzw(F.col("rotation_quat_xyzw")))
-    placed = placed.withColumns({f"_q{n}": c for n, c in zip("wxyz", q)})
-    stretch, loc = rot.vec(F.col("scale")), rot.vec(F.col("location"))
-    rows = rot.matrix(rot.Quat(*rot.named("_q", "wxyz")))
-    rows = [rot.times(rot.scaled(row, stretch), data_scale) for row in rows]
-    shift = rot.times(Vec(loc.x, loc.y, loc.z - ground_cm), data_scale)
-    if align:
-        rows = [rot.times(rows[i], rot.CM_TO_M) for i in (1, 0, 2)]
-        shift = rot.to_robot_axes(shift)
-    names = [f"_m{i}{n}" for i in range(3) for n in "xyz"]
-    flat = [c for row in rows for c in row]
-    placed = placed.withColumns(
-        dict(zip(names, flat)) | {f"_s{n}": c for n, c in zip("xyz", shift)}
-    )
-    base = [Vec(*rot.named(f"_m{i}")) for i in range(3)]
-    moved = Vec(*rot.named("_s"))
-    if align:
-        columns = [Vec(*[getattr(r, n) for r in base]) for n in "xyz"]
-        turned = [align.turn(c) for c in columns]
-        base = [Vec(*[t[i] for t in turned]) for i in range(3)]
-        moved = align.apply(moved)
-    out = {f"_r{i}": F.array(*base[i]) for i in range(3)} | {"_shift": F.array(*moved)}
-    return placed.withColumns(out).drop(*names, *[f"_q{n}" for n in "wxyz"], "_sx", "_sy", "_sz")
-
-
-def _struct(v: Vec) -> Column:
-    return F.struct(*[c.alias(n) for n, c in zip("xyz", v)])
-
-
-def _fields(s: Column) -> Vec:
-    return Vec(s["x"], s["y"], s["z"])
+MAP = [f"map_{i}{n}" for i in range(3) for n in "xyzt"]
 
 
 def world_geometry(
@@ -83,90 +48,120 @@ def world_geometry(
     data_scale: float = 1.0,
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
-    """Per instance: vertices in the target frame, faces as local index triples
-    with outward orientation, and ``vertex_offset`` in its terrain.
+    """Add to each placed mesh its affine map and its ``vertex_offset``.
 
-    A face is turned around when its geometric normal opposes the summed vertex
-    normals; without normals, when the instance transform mirrors. With the axis
-    swap, that is a positive product of the scales.
+    The map stretches, turns and moves, lowers to the ground, scales, changes
+    axes and aligns: twelve numbers per instance (rows ``map_0 .. map_2``), so
+    that the many vertices and faces only multiply and add. ``outward`` is false
+    where the map mirrors a mesh. Vertices are numbered through per terrain.
     """
-    rows = [rot.vec(F.col(f"_r{i}")) for i in range(3)]
-    shift = rot.vec(F.col("_shift"))
-    n_faces = F.floor(F.size("indices") / 3).cast("int")
-    has_normals = F.coalesce(F.size("normals") == F.size("vertices"), F.lit(False))
-    mapped = _with_transform(placed, align, ground_cm, data_scale)
-    moved = mapped.withColumns(
+    q = rot.unit(rot.quat_xyzw(F.col("rotation_quat_xyzw")))
+    stretch, loc = rot.vec(F.col("scale")), rot.vec(F.col("location"))
+    turned = placed.withColumns({f"_q{n}": c for n, c in zip("wxyz", q)})
+    rows = rot.matrix(rot.Quat(*rot.named("_q", "wxyz")))
+    rows = [rot.times(rot.scaled(row, stretch), data_scale) for row in rows]
+    shift = rot.times(Vec(loc.x, loc.y, loc.z - ground_cm), data_scale)
+    if align:
+        rows = [rot.times(rows[i], rot.CM_TO_M) for i in (1, 0, 2)]
+        shift = rot.to_robot_axes(shift)
+    flat = [c for row, t in zip(rows, shift) for c in (*row, t)]
+    mapped = turned.withColumns(dict(zip(MAP, flat)))
+    if align:
+        columns = {n: Vec(*[F.col(f"map_{i}{n}") for i in range(3)]) for n in "xyzt"}
+        done = {n: align.turn(c) for n, c in columns.items()}
+        done["t"] = rot.add(done["t"], rot.constant(align.translation))
+        mapped = mapped.withColumns({f"map_{i}{n}": done[n][i] for i in range(3) for n in "xyzt"})
+    volume = stretch.x * stretch.y * stretch.z
+    mapped = mapped.withColumns(
         {
-            "world": F.transform(
-                "vertices", lambda v: _struct(rot.add(rot.transform(rows, rot.vec(v)), shift))
-            ),
-            "turned": F.when(
-                has_normals,
-                F.transform("normals", lambda v: _struct(rot.transform(rows, rot.vec(v)))),
-            ),
-            "n_vertices": F.size("vertices"),
-            "mirrored": (F.get("scale", F.lit(0)) * F.get("scale", F.lit(1))
-                         * F.get("scale", F.lit(2)) > 0) == F.lit(align is not None),
+            "outward": ~(volume > 0) if align else volume >= 0,
+            "n_vertices": F.size("vertices").cast("long"),
         }
-    )
-
-    def face(i: Column) -> Column:
-        ids = [F.get(F.col("indices"), (3 * i + k).cast("int")) for k in range(3)]
-        a, b, c = [_fields(F.get(F.col("world"), k.cast("int"))) for k in ids]
-        normal = rot.cross(rot.subtract(b, a), rot.subtract(c, a))
-        up = [_fields(F.get(F.col("turned"), k.cast("int"))) for k in ids]
-        against = rot.dot(normal, rot.add(rot.add(up[0], up[1]), up[2])) < 0
-        flip = F.coalesce(against, F.col("mirrored"))
-        kept, other = F.array(*ids), F.array(*reversed(ids))
-        return F.when(flip, other).otherwise(kept)
-
-    faced = moved.withColumn(
-        "faces", F.transform(F.sequence(F.lit(0), n_faces - 1), face)
-    ).drop("vertices", "normals", "indices", "turned", "mirrored", "_r0", "_r1", "_r2", "_shift")
-    sizes = faced.select("terrain_hash", "instance_idx", "n_vertices")
+    ).drop(*[f"_q{n}" for n in "wxyz"])
+    sizes = placed.select(
+        "terrain_hash", "instance_idx", F.size("vertices").cast("long").alias("n_vertices")
+    )
     numbered = (
         Track.of(sizes, ["terrain_hash"], ["instance_idx"], max_rows=max_rows)
-        .running(sums={"_upto": F.col("n_vertices").cast("long")})
+        .running(sums={"_upto": F.col("n_vertices")})
         .result()
     )
-    offsets = numbered.select(
-        "terrain_hash", "instance_idx", (F.col("_upto") - F.col("n_vertices")).alias("vertex_offset")
-    )
-    return faced.join(offsets, ["terrain_hash", "instance_idx"])
+    offset = (F.col("_upto") - F.col("n_vertices")).alias("vertex_offset")
+    offsets = numbered.select("terrain_hash", "instance_idx", offset)
+    return mapped.join(offsets, ["terrain_hash", "instance_idx"])
+
+
+def _mapped(v: Vec, *, direction: bool = False) -> Vec:
+    rows = [Vec(*[F.col(f"map_{i}{n}") for n in "xyz"]) for i in range(3)]
+    out = rot.transform(rows, v)
+    return out if direction else rot.add(out, Vec(*[F.col(f"map_{i}t") for i in range(3)]))
 
 
 def vertex_table(geometry: DataFrame) -> DataFrame:
+    """One row per vertex in the target frame."""
     exploded = geometry.select(
-        "terrain_hash", "instance_idx", "vertex_offset", F.posexplode("world").alias("_i", "_v")
+        "terrain_hash", "instance_idx", "vertex_offset", *MAP, F.posexplode("vertices").alias("_i", "_v")
     )
     return exploded.select(
         "terrain_hash",
         "instance_idx",
         (F.col("vertex_offset") + F.col("_i")).alias("vertex_id"),
-        "_v.*",
+        *[c.alias(n) for n, c in zip("xyz", _mapped(rot.vec(F.col("_v"))))],
     )
 
 
 def triangle_table(geometry: DataFrame) -> DataFrame:
-    """One row per face: global vertex ids ``a, b, c`` and the corner positions."""
-    exploded = geometry.select(
+    """One row per face: global vertex ids ``a, b, c`` and the corner positions.
+
+    A face is turned around when its geometric normal opposes the summed vertex
+    normals; without normals, when the map of the instance mirrors.
+    """
+    triples = F.sequence(F.lit(0), F.floor(F.size("indices") / 3).cast("int") - 1)
+    faces = geometry.withColumn("face_idx", F.explode(triples))
+    ids = [F.get("indices", 3 * F.col("face_idx") + k).cast("int") for k in range(3)]
+    faces = faces.withColumns({f"_i{k}": i for k, i in enumerate(ids)})
+    raw = [rot.vec(F.get("vertices", F.col(f"_i{k}"))) for k in range(3)]
+    ups = [rot.vec(F.get("normals", F.col(f"_i{k}"))) for k in range(3)]
+    up = rot.add(rot.add(ups[0], ups[1]), ups[2])
+    same = F.coalesce(F.size("normals") == F.size("vertices"), F.lit(False))
+    faces = faces.select(
         "terrain_hash",
         "instance_idx",
+        "face_idx",
         "vertex_offset",
-        "world",
-        F.posexplode("faces").alias("face_idx", "_f"),
+        "outward",
+        *MAP,
+        *[f"_i{k}" for k in range(3)],
+        *[c.alias(f"_v{k}{n}") for k, v in enumerate(raw) for n, c in zip("xyz", v)],
+        *[F.when(same, c).alias(f"_u{n}") for n, c in zip("xyz", up)],
     )
-    ids = {n: F.get("_f", F.lit(k)) for k, n in enumerate("abc")}
-    corners = []
-    for k, i in enumerate(ids.values()):
-        v = F.get("world", i.cast("int"))
-        corners += [v[c].alias(f"{c}{k}") for c in "xyz"]
-    return exploded.select(
+    corners = {
+        f"_p{k}{n}": c
+        for k in range(3)
+        for n, c in zip("xyz", _mapped(Vec(*rot.named(f"_v{k}"))))
+    }
+    upward = _mapped(Vec(*rot.named("_u")), direction=True)
+    faces = faces.withColumns(corners | {f"_n{n}": c for n, c in zip("xyz", upward)})
+    p = [Vec(*rot.named(f"_p{k}")) for k in range(3)]
+    normal = rot.cross(rot.subtract(p[1], p[0]), rot.subtract(p[2], p[0]))
+    against = rot.dot(normal, Vec(*rot.named("_n"))) < 0
+    faces = faces.withColumn("_flip", F.coalesce(against, ~F.col("outward")))
+
+    def ordered(first: str, second: str, last: str, names: Sequence[str]) -> list[Column]:
+        flip = F.col("_flip")
+        return [
+            F.when(flip, F.col(last)).otherwise(F.col(first)).alias(names[0]),
+            F.col(second).alias(names[1]),
+            F.when(flip, F.col(first)).otherwise(F.col(last)).alias(names[2]),
+        ]
+
+    numbered = faces.withColumns({f"_g{k}": F.col("vertex_offset") + F.col(f"_i{k}") for k in range(3)})
+    return numbered.select(
         "terrain_hash",
         "instance_idx",
         "face_idx",
-        *[(F.col("vertex_offset") + i).alias(n) for n, i in ids.items()],
-        *corners,
+        *ordered("_g0", "_g1", "_g2", "abc"),
+        *[c for n in "xyz" for c in ordered(f"_p0{n}", f"_p1{n}", f"_p2{n}", [f"{n}{k}" for k in range(3)])],
     )
 
 
