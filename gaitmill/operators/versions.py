@@ -42,7 +42,7 @@ def roll_back(
     """Drop the placed segments, restore the removed recordings from the backup."""
     placed = swaps.where(F.col("action") == "placed").select(F.col("item").alias(item))
     removed = swaps.where(F.col("action") == "removed").select(*keys)
-    kept = current.join(placed, item, "left_anti")
+    kept = current.join(placed, item, "left_anti").select(*current.columns)
     return kept.unionByName(
         backup.join(removed, list(keys), "left_semi"), allowMissingColumns=True
     )
