@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gaitmill.functions.text import present, stable_hash
 from gaitmill.operators.quantiles import exact_quantiles
-from gaitmill.operators.shared import count_where, must_be_empty
+from gaitmill.operators.shared import count_where, must_be_empty, salted_join
 from gaitmill.operators.track import MAX_ROWS, Track, attach
 
 # Reject reasons, name of the group without terrain, strata bins.
@@ -175,6 +175,7 @@ def describe_motions(
     )
     speeds = window_speeds(poses, sized, key, position, x, y)
     options = {} if max_values is None else {"max_values": max_values}
+    options["largest"] = motions.agg(F.max("n_frames")).first()[0] or 0
     p95 = exact_quantiles(speeds, [key], "speed", [SPEED_PROBABILITY], "_p", **options)
     p95 = p95.select(key, F.col("_p")[0].alias("p95_window_speed"))
     return spread.join(p95, key, "left")
@@ -257,18 +258,15 @@ def decide(
     eligible = motions.where(~short)
     quotas = group_quotas(eligible, group)
     crowded = quotas.where(F.col("n_stationary") > F.col("quota"))
-    candidates = (
-        eligible.where("stationary")
-        .select(
-            key,
-            group,
-            F.col(source).cast("string").alias("_source"),
-            stratum_bin(F.col(duration)).alias("_bin"),
-            cell(F.col("start_x"), rule.xy_cell_m).alias("_cx"),
-            cell(F.col("start_y"), rule.xy_cell_m).alias("_cy"),
-        )
-        .join(crowded.select(group, "quota"), group)
+    candidates = eligible.where("stationary").select(
+        key,
+        group,
+        F.col(source).cast("string").alias("_source"),
+        stratum_bin(F.col(duration)).alias("_bin"),
+        cell(F.col("start_x"), rule.xy_cell_m).alias("_cx"),
+        cell(F.col("start_y"), rule.xy_cell_m).alias("_cy"),
     )
+    candidates = salted_join(candidates, crowded.select(group, "quota"), [group], key)
     picked = pick_round_robin(
         candidates, group, ["_source", "_bin", "_cx", "_cy"], key, rule.seed, max_rows=max_rows
     )

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from gaitmill.functions import rotation as rot
 from gaitmill.functions.rotation import Quat
+from gaitmill.operators.shared import salted_join, small_table
 
 MIN_ANCHORS = 3
 MAX_BONES = 10_000
@@ -140,7 +141,7 @@ def bone_deltas(
     """Constant rotation per bone from the captured to the reference pose, with
     its angle. Both sides hold ``qw, qx, qy, qz``."""
     other = reference.select(bone, *[F.col(f"q{c}").alias(f"r{c}") for c in "wxyz"])
-    both = captured.join(other, bone)
+    both = captured.join(small_table(other, MAX_BONES), bone)
     d = rot.multiply(rot.conjugate(rot.unit(quaternion("q"))), rot.unit(quaternion("r")))
     out = both.select(*keys, bone, *[c.alias(f"d{n}") for n, c in zip("wxyz", d)])
     return out.withColumn("angle_deg", rot.angle_degrees(quaternion("d")))
@@ -159,14 +160,14 @@ def delta_spread(deltas: DataFrame, frame: str, bone: str = "bone") -> DataFrame
     the others; bones with a single frame are left out.
 
     The first difference is a grouped minimum, one row per bone of the skeleton,
-    and comes back by a join on the bone.
+    and comes back by a salted join: there are few bones and many frames.
     """
     parts = [F.col(f"d{c}") for c in "wxyz"]
     firsts = deltas.groupBy(bone).agg(
         F.min_by(F.struct(*parts), frame).alias("_first"), F.count(F.lit(1)).alias("frames")
     )
     n = firsts.where("frames > 1").select(bone, "_first", "frames")
-    both = deltas.join(n, bone)
+    both = salted_join(deltas, n, [bone], frame)
     first = Quat(*[F.col("_first")[f"d{c}"] for c in "wxyz"])
     between = rot.multiply(rot.conjugate(first), quaternion("d"))
     spread = both.groupBy(bone).agg(

@@ -51,6 +51,33 @@ def same_key_join(
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def salted_join(
+    rows: DataFrame,
+    per_group: DataFrame,
+    keys: Sequence[str],
+    spread_by: str,
+    *,
+    how: str = "inner",
+    salts: int = 64,
+) -> DataFrame:
+    """Join many rows with one record per group where a group may be huge.
+
+    The record is repeated ``salts`` times and the rows pick one by the hash of
+    ``spread_by``, so a group spreads over as many tasks, and the result is not
+    partitioned by the group alone, which a later window could settle for. Spark
+    still broadcasts the records when they are small.
+    """
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    records = per_group.withColumn("_salt", every)
+    salted = rows.withColumn("_salt", F.pmod(F.hash(spread_by), F.lit(salts)))
+    return same_key_join(salted, records, [*keys, "_salt"], how).drop("_salt")
+
+
+def small_table(df: DataFrame, max_rows: int) -> DataFrame:
+    """Marked for broadcast when a count confirms the bound, unchanged otherwise."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     """(rows in the largest group, rows in total); one narrow aggregation."""
     row = (

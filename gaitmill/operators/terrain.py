@@ -293,25 +293,37 @@ def crop_faces(
     """Faces whose centre lies in the box of the trajectory plus a margin, per
     motion, with the used vertices numbered anew. Where none does, all stay.
 
-    ``motion_terrain`` maps motions to terrains.
+    ``motion_terrain`` maps motions to terrains. Boxes and face centres meet in
+    square cells, so only neighbours are paired; only motions that keep nothing
+    are joined with their whole terrain, which then is their result.
     """
     box = points.groupBy(key).agg(
         *[f(c).alias(f"_{n}_{c}") for c in "xy" for n, f in (("min", F.min), ("max", F.max))]
     )
     boxes = motion_terrain.select(key, "terrain_hash").join(box, key)
+    low = {c: F.col(f"_min_{c}") - margin for c in "xy"}
+    high = {c: F.col(f"_max_{c}") + margin for c in "xy"}
     centre = {c: (F.col(f"{c}0") + F.col(f"{c}1") + F.col(f"{c}2")) / 3.0 for c in "xy"}
-    near = F.lit(True)
-    for c in "xy":
-        near = near & centre[c].between(F.col(f"_min_{c}") - margin, F.col(f"_max_{c}") + margin)
+
+    def cell_of(value: Column) -> Column:
+        return F.floor(value / (2 * margin)).cast("long")
+
     faces = triangles.select(
         "terrain_hash", "instance_idx", "face_idx", "a", "b", "c",
-        *[f"{c}{k}" for c in "xy" for k in range(3)],
+        *[v.alias(f"_centre_{c}") for c, v in centre.items()],
+        *[cell_of(v).alias(f"_cell_{c}") for c, v in centre.items()],
     )
-    judged = boxes.join(faces, "terrain_hash").select(
-        key, "instance_idx", "face_idx", "a", "b", "c", near.alias("_near")
-    )
-    some = judged.groupBy(key).agg(F.bool_or("_near").alias("_some"))
-    kept = judged.join(some, key).where(F.col("_near") | ~F.col("_some"))
+    covers = boxes
+    for c in "xy":
+        span = F.sequence(cell_of(low[c]), cell_of(high[c]))
+        covers = covers.withColumn(f"_cell_{c}", F.explode(span))
+    near = F.lit(True)
+    for c in "xy":
+        near = near & F.col(f"_centre_{c}").between(low[c], high[c])
+    columns = [key, "instance_idx", "face_idx", "a", "b", "c"]
+    inside = covers.join(faces, ["terrain_hash", "_cell_x", "_cell_y"]).where(near).select(*columns)
+    empty = boxes.join(inside.select(key).distinct(), key, "left_anti")
+    kept = inside.unionByName(empty.join(faces, "terrain_hash").select(*columns))
     used = kept.select(key, F.explode(F.array("a", "b", "c")).alias("vertex_id")).distinct()
     numbers = Track.of(used, [key], ["vertex_id"], max_rows=max_rows).numbered("_new").result()
     out = kept.select(key, "instance_idx", "face_idx", "a", "b", "c")
