@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,19 +26,42 @@ def dot_array(a: Column, b: Column) -> Column:
     )
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def slerp(a: Column, b: Column, u: Column) -> Column:
     """Spherical interpolation along the shorter arc; near-parallel: unit lerp."""
-    raw = dot_array(a, b)
-    cosine = F.abs(raw)
-    near = F.when(raw < 0, F.transform(b, lambda x: -x)).otherwise(b)
-    straight = lerp_array(a, near, u)
-    length = F.sqrt(dot_array(straight, straight))
-    flat = F.when(length > 0, F.transform(straight, lambda x: F.try_divide(x, length))).otherwise(a)
-    angle = F.acos(F.least(cosine, F.lit(1.0)))
-    wa = F.try_divide(F.sin((1 - u) * angle), F.sin(angle))
-    wb = F.try_divide(F.sin(u * angle), F.sin(angle))
-    arc = F.zip_with(a, near, lambda x, y: wa * x + wb * y)
-    return F.when(cosine > NEARLY_PARALLEL, flat).otherwise(arc)
+
+    def flat(sign: Column) -> Column:
+        straight = F.zip_with(a, b, lambda x, y: x + u * (sign * y - x))
+
+        def normalised(s: Column) -> Column:
+            unit = bound(
+                F.sqrt(dot_array(s, s)),
+                lambda n: F.when(n > 0, F.transform(s, lambda x: F.try_divide(x, n))),
+            )
+            return F.coalesce(unit, a)
+
+        return bound(straight, normalised)
+
+    def arc(cosine: Column, sign: Column) -> Column:
+        def weights(angle: Column) -> Column:
+            sine = F.sin(angle)
+            return F.struct(
+                F.try_divide(F.sin((1 - u) * angle), sine).alias("a"),
+                (sign * F.try_divide(F.sin(u * angle), sine)).alias("b"),
+            )
+
+        pair = bound(F.acos(F.least(cosine, F.lit(1.0))), weights)
+        return bound(pair, lambda w: F.zip_with(a, b, lambda x, y: w["a"] * x + w["b"] * y))
+
+    def along(d: Column) -> Column:
+        sign = F.when(d < 0, -1.0).otherwise(1.0)
+        return F.when(F.abs(d) > NEARLY_PARALLEL, flat(sign)).otherwise(arc(F.abs(d), sign))
+
+    return bound(dot_array(a, b), along)
 
 
 def blend(

@@ -134,3 +134,11 @@ def test_half_even_rounding_of_fill_count(spark):
     df = spark.createDataFrame(data, SCHEMA)
     placed = c.lay_out(c.label_frames(df, AT, rule), AT, rule).df.orderBy("frame_idx").collect()
     assert [r.slots for r in placed] == [1, 2, 2]  # 2.5 rounds to 2
+
+
+def test_slerp_takes_the_short_way(spark):
+    a, b = [0.0, 0.0, 0.0, 1.0], [0.0, 0.0, -math.sin(0.6), -math.cos(0.6)]
+    df = spark.createDataFrame([(a, b)], "a array<double>, b array<double>")
+    kind = T.ArrayType(T.DoubleType())
+    got = df.select(blend(F.col("a"), F.col("b"), kind, F.lit(0.25), name="q")).first()[0]
+    assert got == pytest.approx([0.0, 0.0, math.sin(0.15), math.cos(0.15)])
