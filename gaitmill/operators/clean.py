@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaitmill.functions.blend import blend
-from gaitmill.operators.shared import count_where, same_key_join
+from gaitmill.operators.shared import count_where, same_key_join, settle
 from gaitmill.operators.track import MAX_ROWS, Track, attach
 
 KEEP, STUCK, GLITCH, SPLIT, GAP = "keep", "drop_stuck", "drop_glitch", "split", "gap"
@@ -269,9 +269,20 @@ def clean(
     rule: CleanRule = CleanRule(),
     *,
     max_rows: int = MAX_ROWS,
+    settled: bool = False,
 ) -> Cleaned:
+    """Define the results of stage 1.
+
+    With ``settled`` the narrow labels and layout are written once to the shared
+    folder. That pays when the cleaned frames are wanted too, since these read the
+    layout several times.
+    """
     labelled = label_frames(frames, at, rule, max_rows=max_rows)
+    if settled:
+        labelled = labelled.with_df(settle(labelled.df))
     laid_out = lay_out(labelled, at, rule)
+    if settled:
+        laid_out = laid_out.with_df(settle(laid_out.df))
     segments = segment_table(laid_out, at, rule)
     manifest = recording_manifest(labelled.df, segments, at)
     return Cleaned(

@@ -18,13 +18,13 @@ from gaitmill.plans.tables import (
 )
 
 
-def _cleaned(spark, sf_dir):
+def _cleaned(spark, sf_dir, settled=False):
     rows = events(spark, sf_dir)
-    return rows, c.clean(rows, EVENTS_AT, EVENTS_RULE)
+    return rows, c.clean(rows, EVENTS_AT, EVENTS_RULE, settled=settled)
 
 
 def _cleaned_rows(spark, sf_dir):
-    rows, cleaned = _cleaned(spark, sf_dir)
+    rows, cleaned = _cleaned(spark, sf_dir, settled=True)
     filled = c.cleaned_frames(rows, cleaned, EVENTS_AT, values=["value", "props"])
     return rows, cleaned, filled.withColumn("k", F.col("props.k").cast("long"))
 

@@ -48,7 +48,7 @@ def clean_stage(
     """Stage 1: ``frames``, ``meta``, ``manifest``, ``swaps`` and ``stats``."""
     frames = _read(spark, raw, "frames")
     at = clean.FrameColumns()
-    cleaned = clean.clean(captures.frame_header(frames), at, rule)
+    cleaned = clean.clean(captures.frame_header(frames), at, rule, settled=True)
     segments = settle(clean.output_segments(cleaned, at))
     full = clean.cleaned_frames(frames, cleaned, at, records=records)
     tables.write_frames(full, f"{out}/frames", mode="overwrite")
