@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaitmill.llm import chat, packing, ring_sharding, token_counts
+from gaitmill.llm import chat, omh_dedup, packing, ring_sharding, token_counts
 from gaitmill.llm.tables import BPE_JSON, BPE_RANKS, CAPACITY, table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(learned, 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query
+def op1_omh_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class (smallest doc_id) and class size of every document."""
+    classes = omh_dedup.near_duplicate_classes(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "class_size")
