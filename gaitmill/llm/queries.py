@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaitmill.llm import chat, omh_dedup, packing, ring_sharding, token_counts
+from gaitmill.llm import (
+    chat,
+    decontaminate,
+    omh_dedup,
+    packing,
+    pii,
+    ring_sharding,
+    token_counts,
+)
 from gaitmill.llm.tables import BPE_JSON, BPE_RANKS, CAPACITY, table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +101,16 @@ def op1_omh_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class (smallest doc_id) and class size of every document."""
     classes = omh_dedup.near_duplicate_classes(table(spark, sf_dir, "documents"))
     return classes.select("doc_id", "class_id", "class_size")
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item found in it, within the edits allowed."""
+    return decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+@query
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
