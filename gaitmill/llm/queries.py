@@ -15,6 +15,8 @@ from gaitmill.llm import (
     pii,
     ring_sharding,
     token_counts,
+    toxicity,
+    vp_trees,
 )
 from gaitmill.llm.tables import BPE_JSON, BPE_RANKS, CAPACITY, table, tokenizer_path
 
@@ -114,3 +116,16 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_vp_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest of every hundredth vector among all others."""
+    return vp_trees.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
