@@ -280,3 +280,24 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
     )
     of_node = grouped.join(classes, "root").select("_node", "class_id", "class_size")
     return rows.drop("_text").join(of_node, "_node").select(key, "_node", "class_id", "class_size")
+
+
+def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``docs`` for each class, with all its columns.
+
+    The row with the smallest key stays, null keys last, then the one with the smallest
+    digest of its text; rows that agree in key and text are one row.
+    """
+    groups = components(links(docs, text)).withColumnRenamed("node", "_node")
+    rows = with_digest(docs, text)
+    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "_node")
+    nodes = rows.select(key, "_node").groupBy("_node").agg(F.min(order).alias("_first"))
+    kept = (
+        nodes.join(groups, "_node", "left")
+        .groupBy(F.coalesce("root", "_node").alias("root"))
+        .agg(F.min("_first").alias("f"))
+        .select(F.col("f._node").alias("_node"), F.col("f.key").alias("_kept"))
+    )
+    same = F.col(key).eqNullSafe(F.col("_kept"))
+    staying = rows.join(settle(kept), "_node").where(same)
+    return staying.dropDuplicates(["_node"]).drop("_node", "_kept")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gaitmill.llm import (
     chat,
     decontaminate,
+    licenses,
     omh_dedup,
     packing,
     pii,
@@ -129,3 +130,19 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     )
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a folder for each source, language and 1024 numbers with
+    folders of 64 in it. Documents that speak of a licence are licence files where their
+    number is even, in the upper folder where it is a multiple of four."""
+    upper = F.concat_ws("/", "source", "lang", F.expr("doc_id div 1024"))
+    lower = F.concat_ws("/", upper, F.expr("doc_id div 64"))
+    notice = F.lower("text").contains("licen")
+    path = (
+        F.when(notice & (F.col("doc_id") % 4 == 0), F.concat_ws("/", upper, F.expr("'LICENSE-' || doc_id")))
+        .when(notice & (F.col("doc_id") % 2 == 0), F.concat_ws("/", lower, F.expr("'LICENSE-' || doc_id")))
+        .otherwise(F.concat_ws("/", lower, F.expr("doc_id || '.txt'")))
+    )
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), path=path)

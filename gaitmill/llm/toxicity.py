@@ -48,7 +48,7 @@ FEATURES = (
     "asking", "punctuation", "digits", "signs_in_words", "stretched", "log_words",
 )
 
-_SPLIT = str.maketrans({c: " " for c in ".,;:!?\"()[]{}<>|/\\«»„“”…—–\n\t\r"})
+_SPLIT = str.maketrans({c: " " for c in ".,;:!?\"()[]{}<>|/\\*#&%$@~^=+_«»„“”…—–\n\t\r"})
 _MASKED = re.compile(r"(?<!\S)(?=\S*[^\W\d_])(?=\S*[\d@$*])[\w@$*!]+")
 
 
