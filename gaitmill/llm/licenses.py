@@ -21,6 +21,7 @@ TEMPLATES = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software, under the MIT License"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-3.0", "Licensed under the GNU General Public License, version 3."),
     ("GPL-2.0", "This program is licensed under the GNU General Public License, version 2."),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),

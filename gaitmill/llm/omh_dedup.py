@@ -259,7 +259,7 @@ def links(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: ``key``, ``_node``, ``class_id`` and ``class_size``.
+    """One row per document: ``key``, ``class_id`` and ``class_size``.
 
     ``class_id`` is the smallest key among documents joined by a chain of links (equal
     texts, or aligned five-word k-mers with a similarity of 0.8 or more); null only
@@ -269,8 +269,8 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
     """
     edges = links(docs, text)
     groups = components(edges)
-    rows = with_digest(docs.select(F.col(key).alias(key), F.col(text).alias("_text")), "_text")
-    nodes = rows.drop("_text").groupBy("_node").agg(F.min(key).alias("_key"), F.count("*").alias("_n"))
+    rows = with_digest(docs.select(F.col(key).alias("key"), F.col(text).alias("_text")), "_text")
+    nodes = rows.groupBy("_node").agg(F.min("key").alias("_key"), F.count("*").alias("_n"))
     grouped = nodes.join(groups.withColumnRenamed("node", "_node"), "_node", "left").withColumn(
         "root", F.coalesce("root", "_node")
     )
@@ -279,7 +279,8 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
         F.min("_key").alias("class_id"), F.sum("_n").alias("class_size")
     )
     of_node = grouped.join(classes, "root").select("_node", "class_id", "class_size")
-    return rows.drop("_text").join(of_node, "_node").select(key, "_node", "class_id", "class_size")
+    rows = rows.select(F.col("key").alias(key), "_node")
+    return rows.join(of_node, "_node").select(key, "class_id", "class_size")
 
 
 def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -288,8 +289,11 @@ def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "t
     The row with the smallest key stays, null keys last, then the one with the smallest
     digest of its text; rows that agree in key and text are one row.
     """
-    groups = components(links(docs, text)).withColumnRenamed("node", "_node")
-    rows = with_digest(docs, text)
+    names = docs.columns
+    rows = docs.toDF(*[f"c{i}" for i in range(len(names))])  # no name can clash
+    key, text = (f"c{names.index(c)}" for c in (key, text))
+    groups = components(links(rows, text)).withColumnRenamed("node", "_node")
+    rows = with_digest(rows, text)
     order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "_node")
     nodes = rows.select(key, "_node").groupBy("_node").agg(F.min(order).alias("_first"))
     kept = (
@@ -300,4 +304,4 @@ def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "t
     )
     same = F.col(key).eqNullSafe(F.col("_kept"))
     staying = rows.join(settle(kept), "_node").where(same)
-    return staying.dropDuplicates(["_node"]).drop("_node", "_kept")
+    return staying.dropDuplicates(["_node"]).drop("_node", "_kept").toDF(*names)

@@ -178,13 +178,14 @@ class Model:
     def score(self, docs: DataFrame, text: str = "text", into: str = "score") -> DataFrame:
         """``docs`` with a score from 0 to 1 for each row. Null texts count as empty."""
         if self.trees is None:
-            return docs.withColumn(into, F.lit(self.share))
-        measured = docs.withColumn("_features", array_to_vector(feature_column(F.col(text), self.lexicon)))
-        grown = _boosted(self.trees, measured)
-        calibrated = self.calibration.transform(grown)
+            return docs.select("*", F.lit(self.share).alias(into))
+        names = docs.columns
+        rows = docs.toDF(*[f"c{i}" for i in range(len(names))])  # no name can clash
+        features = feature_column(F.col(f"c{names.index(text)}"), self.lexicon)
+        measured = rows.withColumn("_features", array_to_vector(features))
+        calibrated = self.calibration.transform(_boosted(self.trees, measured))
         score = F.least(F.greatest(F.col("_calibrated"), F.lit(0.0)), F.lit(1.0))
-        kept = [F.col(f"`{c}`") for c in docs.columns if c != into]
-        return calibrated.select(*kept, score.alias(into))
+        return calibrated.select(*rows.columns, score).toDF(*names, into)
 
 
 def _boosted(trees: GBTClassificationModel, measured: DataFrame) -> DataFrame:
@@ -263,4 +264,6 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with the rows that score below 0.5, all columns as they were."""
     model = fit(docs, training_labels(labels))
-    return model.score(docs, into="_score").where("_score < 0.5").drop("_score")
+    names = docs.columns
+    scored = model.score(docs).toDF(*[f"c{i}" for i in range(len(names))], "score")
+    return scored.where("score < 0.5").drop("score").toDF(*names)
