@@ -72,6 +72,45 @@ def validate_pair(stage2: DataFrame, stage3: DataFrame, **names: str) -> None:
     must_be_empty(problems, "stage 2 and stage 3 differ", problems.columns)
 
 
+QPOS_WIDTH = 36
+
+
+def pose_problems(
+    motions: DataFrame, poses: DataFrame, key: str = "seg_id", position: str = "frame_idx", q: str = "q"
+) -> DataFrame:
+    """(id, problem) rows of motions that cannot be judged by their poses: none at
+    all, another number of frames, a wrong width, a number that is not finite, or a
+    root quaternion of length zero. The first that holds is named."""
+    finite = F.forall(q, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    norm = F.aggregate(F.slice(q, 4, 4), F.lit(0.0), lambda a, v: a + v * v)
+    wide = F.coalesce(F.size(q) == QPOS_WIDTH, F.lit(False))
+    per = poses.groupBy(key).agg(
+        F.count(position).alias("_n"),
+        F.min(position).alias("_from"),
+        F.max(position).alias("_to"),
+        F.count_distinct(position).alias("_distinct"),
+        count_where(~wide).alias("_narrow"),
+        count_where(wide & ~finite).alias("_odd"),
+        count_where(wide & finite & (norm < MIN_QUATERNION_NORM**2)).alias("_zero"),
+    )
+    dense = (F.col("_from") == 0) & (F.col("_to") == F.col("_n") - 1)
+    dense = dense & (F.col("_distinct") == F.col("_n")) & (F.col("_n") == F.col("n_frames"))
+    problem = (
+        F.when(F.coalesce(F.col("_n"), F.lit(0)) == 0, "missing_qpos")
+        .when(F.col("_narrow") > 0, "wrong_width")
+        .when(F.col("_odd") > 0, "not_finite")
+        .when(F.col("_zero") > 0, "zero_quaternion")
+        .when(~F.coalesce(dense, F.lit(False)), "frames_differ")
+    )
+    both = motions.select(key, "n_frames").join(per, key, "left")
+    return both.select(key, problem.alias("problem")).where(F.col("problem").isNotNull())
+
+
+def validate_poses(motions: DataFrame, poses: DataFrame, **names: str) -> None:
+    problems = pose_problems(motions, poses, **names)
+    must_be_empty(problems, "motions without a full descriptor", problems.columns)
+
+
 def terrain_group(category: Column, terrain_ref: Column) -> Column:
     return F.coalesce(present(terrain_ref), F.concat(F.lit(NO_TERRAIN), category))
 
@@ -141,7 +180,8 @@ def describe_motions(
 ) -> DataFrame:
     """Start, end, excursion, p95 window speed and rotation per motion.
 
-    ``poses`` are densely numbered; ``motions`` gives ``n_frames`` and ``fps``.
+    ``poses`` are densely numbered; ``motions`` gives ``n_frames`` and ``fps``. A
+    motion without a first pose has nulls for what cannot be said.
     The first pose reaches the other frames through a paged join.
     """
     x, y = xy
@@ -178,7 +218,8 @@ def describe_motions(
     options["largest"] = motions.agg(F.max("n_frames")).first()[0] or 0
     p95 = exact_quantiles(speeds, [key], "speed", [SPEED_PROBABILITY], "_p", **options)
     p95 = p95.select(key, F.col("_p")[0].alias("p95_window_speed"))
-    return spread.join(p95, key, "left")
+    described = spread.drop("window_frames").join(p95, key, "left")
+    return sized.select(key, "window_frames").join(described, key, "left")
 
 
 def is_stationary(rule: BalanceRule) -> Column:
@@ -252,7 +293,8 @@ def decide(
 ) -> DataFrame:
     """Add ``decision`` and ``reject_reason`` to described motions.
 
-    Only groups with more stationary than moving motions are ranked at all.
+    Only groups with more stationary than moving motions are ranked at all. A motion
+    long enough but neither stationary nor moving is an error.
     """
     short = F.col(duration) < rule.min_duration_s
     eligible = motions.where(~short)
@@ -271,7 +313,12 @@ def decide(
         candidates, group, ["_source", "_bin", "_cx", "_cy"], key, rule.seed, max_rows=max_rows
     )
     excess = picked.where(F.col("pick") > F.col("quota")).select(key, F.lit(True).alias("_excess"))
-    reason = F.when(short, TOO_SHORT).when(F.col("_excess"), EXCESS)
+    unknown = F.raise_error(F.concat(F.lit("not described: "), F.col(key).cast("string")))
+    reason = (
+        F.when(short, TOO_SHORT)
+        .when(F.col("stationary").isNull(), unknown.cast("string"))
+        .when(F.col("_excess"), EXCESS)
+    )
     return (
         motions.join(excess, key, "left")
         .withColumn("reject_reason", reason)

@@ -12,10 +12,9 @@ from pyspark.sql import types as T
 
 from gaitmill.functions import rotation as rot
 from gaitmill.functions.rotation import Quat
-from gaitmill.operators.shared import salted_join, small_table
+from gaitmill.operators.shared import salted_join
 
 MIN_ANCHORS = 3
-MAX_BONES = 10_000
 TRUSTED_DEGREES, DOUBTFUL_DEGREES = 2.0, 10.0
 AXES = "xyz"
 
@@ -23,17 +22,15 @@ AXES = "xyz"
 def shared_anchors(points: DataFrame, reference: DataFrame, bone: str = "bone") -> DataFrame:
     """Reference anchors that the points have too; fewer than three is an error.
 
-    The reference is one skeleton in one pose: its size is checked, then it may
-    be broadcast.
+    The reference is one skeleton in one pose; Spark broadcasts it where its size
+    allows that.
     """
     known = points.select(bone).distinct()
     shared = reference.join(known, bone, "left_semi")
     n = shared.count()
     if n < MIN_ANCHORS:
         raise ValueError(f"need {MIN_ANCHORS} shared anchor bones, found {n}")
-    if n > MAX_BONES:
-        raise ValueError(f"a reference pose of {n} bones is not a skeleton")
-    return F.broadcast(shared)
+    return shared
 
 
 def pair_moments(
@@ -141,7 +138,7 @@ def bone_deltas(
     """Constant rotation per bone from the captured to the reference pose, with
     its angle. Both sides hold ``qw, qx, qy, qz``."""
     other = reference.select(bone, *[F.col(f"q{c}").alias(f"r{c}") for c in "wxyz"])
-    both = captured.join(small_table(other, MAX_BONES), bone)
+    both = captured.join(other, bone)
     d = rot.multiply(rot.conjugate(rot.unit(quaternion("q"))), rot.unit(quaternion("r")))
     out = both.select(*keys, bone, *[c.alias(f"d{n}") for n, c in zip("wxyz", d)])
     return out.withColumn("angle_deg", rot.angle_degrees(quaternion("d")))

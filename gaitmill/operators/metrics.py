@@ -14,6 +14,7 @@ from gaitmill.operators.smoothing import steps
 from gaitmill.operators.track import MAX_ROWS, Track
 
 MM_PER_M = 1000.0
+FINGERPRINT_PAGE = 1024
 JUMP_LIMIT = 0.01
 JUMPS_SHOWN = 12
 
@@ -170,11 +171,11 @@ def fingerprint(
     order: Sequence[str],
     signature: Column,
     *,
-    page_rows: int = 4096,
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """SHA-256 over ordered signatures, as a tree: pages of signatures are hashed,
-    then the page hashes, so no group is gathered whole."""
+    then the page hashes, so no group is gathered whole. The size of a page is part
+    of the definition: it is no argument."""
     narrow = rows.select(*by, *order, signature.alias("_sig"))
     ranked = Track.of(narrow, by, order, max_rows=max_rows).numbered("_i").result()
 
@@ -183,9 +184,9 @@ def fingerprint(
         text = F.array_join(F.transform(items, lambda s: s["_sig"]), "\n")
         return level.groupBy(*keys).agg(F.sha2(text, 256).alias("_sig"))
 
-    page = F.floor(F.col("_i") / page_rows).cast("long")
+    page = F.floor(F.col("_i") / FINGERPRINT_PAGE).cast("long")
     pages = digest(ranked.withColumn("_page", page), [*by, "_page"])
-    books = pages.withColumn("_book", F.floor(F.col("_page") / page_rows).cast("long"))
+    books = pages.withColumn("_book", F.floor(F.col("_page") / FINGERPRINT_PAGE).cast("long"))
     books = digest(books.withColumnRenamed("_page", "_i"), [*by, "_book"])
     top = digest(books.withColumnRenamed("_book", "_i"), by)
     return top.withColumnRenamed("_sig", "fingerprint")

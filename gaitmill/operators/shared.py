@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import operator
+import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own_dir: dict[str, str] = {}
+#: Paths that ``settle`` wrote inside each running ``tidy`` call.
+_written: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,6 +31,7 @@ def shared_folder(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _own_dir:
         _own_dir[app] = tempfile.mkdtemp(prefix="spark-")
+        atexit.register(shutil.rmtree, _own_dir[app], ignore_errors=True)
     return _own_dir[app]
 
 
@@ -37,9 +42,30 @@ def settle(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _written:
+        _written[-1].append(path)
     return df.sparkSession.read.parquet(path)
 
 
+def tidy(stage: Callable) -> Callable:
+    """A stage that writes all its output before it returns: the tables that it
+    settled on the way are deleted when it ends, also after an error."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, *args, **kwargs):
+        _written.append([])
+        try:
+            return stage(spark, *args, **kwargs)
+        finally:
+            hadoop = spark._jvm.org.apache.hadoop.fs.Path
+            for written in _written.pop():
+                path = hadoop(written)
+                files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+                files.delete(path, True)
+
+    return run
+
+
 def same_key_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left"
 ) -> DataFrame:
@@ -58,26 +84,24 @@ def salted_join(
     spread_by: str,
     *,
     how: str = "inner",
-    salts: int = 64,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join many rows with one record per group where a group may be huge.
 
-    The record is repeated ``salts`` times and the rows pick one by the hash of
+    The record is repeated ``salts`` times (unless given, the number of shuffle
+    partitions, which follows the size of the data) and the rows pick one by the hash of
     ``spread_by``, so a group spreads over as many tasks, and the result is not
     partitioned by the group alone, which a later window could settle for. Spark
     still broadcasts the records when they are small.
     """
+    if salts is None:
+        salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     records = per_group.withColumn("_salt", every)
     salted = rows.withColumn("_salt", F.pmod(F.hash(spread_by), F.lit(salts)))
     return same_key_join(salted, records, [*keys, "_salt"], how).drop("_salt")
 
 
-def small_table(df: DataFrame, max_rows: int) -> DataFrame:
-    """Marked for broadcast when a count confirms the bound, unchanged otherwise."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     """(rows in the largest group, rows in total); one narrow aggregation."""
     row = (

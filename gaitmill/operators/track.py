@@ -165,8 +165,10 @@ class Track:
             | {f"_l_{n}": F.max(c).over(w) for n, c in maxima.items()}
         )
         joined = same_key_join(local, borders, self.groups)
+        # Null only where the sequence had no value yet, in this chunk or before it.
+        both = {n: (F.col(f"_l_{n}"), F.col(f"_s_{n}")) for n in sums}
         added = {
-            n: F.col(f"_l_{n}") + F.coalesce(F.col(f"_s_{n}"), F.lit(0)) for n in sums
+            n: F.coalesce(local + earlier, local, earlier) for n, (local, earlier) in both.items()
         }
         added |= {n: F.greatest(f"_l_{n}", f"_m_{n}") for n in maxima}
         added |= {n: F.col(f"_t_{n}") for n in totals}

@@ -166,14 +166,14 @@ def seeded_sample(spark, sf_dir):
     """WITH s AS (
   SELECT o_orderstatus AS category, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1 AS i,
          concat_ws('|', o_orderkey, o_custkey, o_orderpriority) AS sig FROM orders),
-p AS (SELECT category, i // 64 AS i, sha256(string_agg(sig, chr(10) ORDER BY i)) AS sig FROM s GROUP BY category, i // 64),
-b AS (SELECT category, i // 64 AS i, sha256(string_agg(sig, chr(10) ORDER BY i)) AS sig FROM p GROUP BY category, i // 64)
+p AS (SELECT category, i // 1024 AS i, sha256(string_agg(sig, chr(10) ORDER BY i)) AS sig FROM s GROUP BY category, i // 1024),
+b AS (SELECT category, i // 1024 AS i, sha256(string_agg(sig, chr(10) ORDER BY i)) AS sig FROM p GROUP BY category, i // 1024)
 SELECT category, sha256(string_agg(sig, chr(10) ORDER BY i)) AS fingerprint FROM b GROUP BY category"""
 )
 def fingerprint(spark, sf_dir):
     parts = [F.col(c).cast("string") for c in ("o_orderkey", "o_custkey", "o_orderpriority")]
     rows = load(spark, sf_dir, "orders").withColumnRenamed("o_orderstatus", "category")
-    return m.fingerprint(rows, ["category"], ["o_orderkey"], F.concat_ws("|", *parts), page_rows=64)
+    return m.fingerprint(rows, ["category"], ["o_orderkey"], F.concat_ws("|", *parts))
 
 
 # -- calibration: an embedding is 21 points, the reference is the mean pose -------------------

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gaitmill.functions.rotation import Rigid
 from gaitmill.operators import balance, clean, forward, stage3, stats, terrain, versions, wash
-from gaitmill.operators.shared import settle
+from gaitmill.operators.shared import must_be_empty, settle, tidy
 from gaitmill.sinks import reports, tables
 from gaitmill.sources import captures
 
@@ -25,6 +25,7 @@ def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}")
 
 
+@tidy
 def ingest(
     spark: SparkSession, raw_root: str, out: str, categories: Sequence[str] | None = None
 ) -> None:
@@ -37,6 +38,7 @@ def ingest(
     tables.write_table(broken, f"{out}/rejects")
 
 
+@tidy
 def clean_stage(
     spark: SparkSession,
     raw: str,
@@ -60,11 +62,18 @@ def clean_stage(
     tables.write_stats(cleaned.stats, f"{out}/stats")
 
 
+@tidy
 def wash_stage(
-    spark: SparkSession, stage1: str, out: str, rule: wash.WashRule = wash.WashRule()
+    spark: SparkSession,
+    stage1: str,
+    out: str,
+    rule: wash.WashRule = wash.WashRule(),
+    *,
+    broken: DataFrame | None = None,
 ) -> str:
-    """Stage 2 from the segments of stage 1: ``frames``, manifests, ``stats``, and
-    the report as text."""
+    """Stage 2 from the segments of stage 1: ``frames``, ``meta`` with the record of
+    the wash, manifests, ``stats``, and the report as text. ``broken`` are the rejects
+    of ingest: they count as parse failures and stay in the reject manifest."""
     at = wash.CommandColumns()
     frames = _read(spark, stage1, "frames").drop("recording_id", "filled")
     frames = frames.withColumnRenamed("seg_id", "recording_id")
@@ -75,7 +84,9 @@ def wash_stage(
     runs = settle(wash.good_runs(header, at, rule))
     accepted = wash.accepted_manifest(runs, per, meta, at, rule)
     rejected = wash.reject_manifest(runs, rule)
-    counters = wash.wash_counters(per, runs, None, at)
+    if broken is not None:
+        rejected = rejected.unionByName(broken, allowMissingColumns=True)
+    counters = wash.wash_counters(per, runs, broken, at)
     tables.write_frames(
         wash.washed_frames(frames, accepted, KEYS), f"{out}/frames", mode="overwrite"
     )
@@ -83,6 +94,9 @@ def wash_stage(
     tables.write_json_rows(accepted, f"{out}/segments_manifest", order)
     tables.write_json_rows(rejected, f"{out}/reject_manifest", order)
     tables.write_table(accepted, f"{out}/manifest")
+    tables.write_table(rejected, f"{out}/rejects")
+    washed = meta.join(accepted.select(*KEYS, "seg_id", "i0", "i1", "wash"), list(KEYS))
+    tables.write_table(washed, f"{out}/meta")
     tables.write_stats(counters, f"{out}/stats")
     sections = []
     kept = accepted.select("duration_s")
@@ -101,6 +115,7 @@ def wash_stage(
     return text
 
 
+@tidy
 def qa_stage(
     spark: SparkSession, stage2: str, poses: DataFrame, out: str, rule: wash.WashRule = wash.WashRule()
 ) -> DataFrame:
@@ -114,16 +129,23 @@ def qa_stage(
     sources = stage3.source_check(header, "seg_id", wash.CommandColumns(), rule)
     checks = settle(stage3.pose_check(poses.where(F.col("frame_idx").isNotNull())))
     judged = settle(stage3.qa_reasons(numbered, checks, None, sources))
+    if "problem" in poses.columns:  # files that could not be read say why
+        unread = poses.where(F.col("frame_idx").isNull()).groupBy("seg_id")
+        judged = judged.join(unread.agg(F.first("problem").alias("problem")), "seg_id", "left")
+    else:
+        judged = judged.withColumn("problem", F.lit(None).cast("string"))
     passed = judged.where(F.size("reasons") == 0)
     tables.write_table(passed.select(*ready.columns), f"{out}/manifest")
-    failed = judged.where(F.size("reasons") > 0).select("seg_id", "category", "reasons")
+    failed = judged.where(F.size("reasons") > 0).select("seg_id", "category", "reasons", "problem")
     tables.write_table(failed, f"{out}/failures")
-    tables.write_table(stage3.final_rejects(unscaled), f"{out}/rejects")
+    before = _read(spark, stage2, "rejects")
+    tables.write_table(stage3.final_rejects(before, unscaled), f"{out}/rejects")
     summary = stage3.qa_summary(judged)
-    tables.write_stats(summary, f"{out}/stats")
-    return summary
+    tables.write_table(summary, f"{out}/stats")
+    return _read(spark, out, "stats")
 
 
+@tidy
 def forward_stage(
     spark: SparkSession, stage2: str, solved: str, out: str, eps_back: float = forward.EPS_BACK
 ) -> str:
@@ -133,9 +155,16 @@ def forward_stage(
     judged = settle(forward.judge(_read(spark, stage2, "manifest"), scan))
     forward.validate(judged)
     accepted, rejected = judged.where("keep"), judged.where("NOT keep")
-    subset = forward.subset_solved(_read(spark, solved, "manifest"), accepted)
+    solved_rows = _read(spark, solved, "manifest")
+    apart = forward.set_differences(accepted, rejected, solved_rows)
+    must_be_empty(apart.where("problem = 'not_decided'"), "solved motions without a decision", ["seg_id"])
+    tables.write_table(apart, f"{out}/set_differences")
+    subset = forward.subset_solved(solved_rows, accepted)
     tables.write_table(subset, f"{out}/manifest")
     tables.write_table(rejected, f"{out}/rejects")
+    tables.write_table(forward.solved_rejects(solved_rows, rejected), f"{out}/solved_rejects")
+    stamped = forward.stamp_meta(_read(spark, stage2, "meta"), accepted, eps_back)
+    tables.write_table(stamped, f"{out}/meta")
     counters = forward.counters(judged)
     tables.write_stats(counters, f"{out}/stats")
     text = reports.forward_report(reports.collected(counters), eps_back)
@@ -143,6 +172,7 @@ def forward_stage(
     return text
 
 
+@tidy
 def balance_stage(
     spark: SparkSession,
     manifest: DataFrame,
@@ -150,11 +180,18 @@ def balance_stage(
     poses: DataFrame,
     out: str,
     rule: balance.BalanceRule = balance.BalanceRule(),
+    *,
+    stage2: DataFrame | None = None,
 ) -> str:
     """Training set: decisions, kept rows, rejects and report.
 
     ``meta`` gives ``terrain_ref`` per segment; ``poses`` the root pose in ``q``.
+    Refuses motions that it cannot judge, and with ``stage2`` a manifest that does not
+    describe the same motions.
     """
+    if stage2 is not None:
+        balance.validate_pair(stage2, manifest)
+    balance.validate_poses(manifest, poses)
     q = [F.get("q", F.lit(i)) for i in range(7)]
     names = ("x", "y", "z", "qw", "qx", "qy", "qz")
     root = poses.select("seg_id", "frame_idx", *[c.alias(n) for n, c in zip(names, q)])
@@ -176,7 +213,8 @@ def balance_stage(
     tables.write_table(short, f"{out}/duration_rejects")
     tables.write_table(excess, f"{out}/balance_rejects")
     summary = balance.summaries(decided)
-    tables.write_stats(summary, f"{out}/stats")
+    tables.write_table(summary, f"{out}/stats")
+    summary = _read(spark, out, "stats").where("scope <> 'terrain'")
     durations = kept.select("duration_s")
     section = reports.duration_section(
         "Output durations",
@@ -189,6 +227,7 @@ def balance_stage(
     return text
 
 
+@tidy
 def terrain_stage(
     spark: SparkSession,
     folder: str,

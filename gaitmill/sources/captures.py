@@ -48,27 +48,39 @@ def read_frames(
     """Frames of ``<root>/<category>/<recording>_frames.jsonl``.
 
     Unreadable lines stay as rows with ``_corrupt_record``, or fail the read when
-    ``strict``. Blank lines are skipped by the reader.
+    ``strict``. Blank lines are skipped by the reader. ``line`` orders the lines of a
+    file and is different for each.
     """
     schema = FRAME if strict else T.StructType([*FRAME.fields, T.StructField(CORRUPT, T.StringType())])
     reader = spark.read.schema(schema).option("mode", "FAILFAST" if strict else "PERMISSIVE")
     if not strict:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return _named(reader.json(_globs(root, categories, "_frames.jsonl")), "_frames\\.jsonl")
+    frames = _named(reader.json(_globs(root, categories, "_frames.jsonl")), "_frames\\.jsonl")
+    line = F.struct(
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("no")
+    )
+    return frames.withColumn("line", line)
 
 
 def with_frame_index(
     frames: DataFrame,
     keys: Sequence[str] = KEYS,
-    order: Sequence[str] = ("f",),
+    order: Sequence[str] = ("line",),
     *,
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
-    """Add the dense ``frame_idx``. Only keys and order are sorted; the wide rows
-    meet the numbers in an equi-join on (keys, order)."""
+    """Add the dense ``frame_idx`` in the order of the lines. Only keys and order are
+    sorted; the wide rows meet the numbers in an equi-join on (keys, order).
+
+    Lines differ, so rows are neither lost nor multiplied, whatever the counter ``f``
+    says. Another ``order`` must not repeat within a recording: that is an error.
+    """
+    if "line" not in order:
+        repeated = frames.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("rows"))
+        must_be_empty(repeated.where("rows > 1"), "frames of equal order", [*keys, *order, "rows"])
     narrow = frames.select(*keys, *order)
     numbers = Track.of(narrow, keys, order, max_rows=max_rows).numbered("frame_idx").result()
-    return same_key_join(frames, numbers, [*keys, *order], "inner")
+    return same_key_join(frames, numbers, [*keys, *order], "inner").drop("line")
 
 
 def land(frames: DataFrame, path: str, *, page_rows: int = 100_000) -> None:

@@ -43,7 +43,7 @@ def test_frames_meta_and_pairs(spark, root):
     broken = wash.parse_rejects(frames.cache(), cap.CORRUPT, cap.KEYS)
     assert [r.seg_id for r in broken.collect()] == ["broken"]
     good = wash.readable(frames, broken, cap.KEYS).drop(cap.CORRUPT)
-    indexed = cap.with_frame_index(good)
+    indexed = cap.with_frame_index(good, order=("f",))
     got = rows(cap.frame_header(indexed).select("recording_id", "frame_idx", "t", "px", "scale_y", "jump"),
                "recording_id", "frame_idx")
     assert got[:2] == [("a_1", 0, 0.0, 1.0, 0.77, False), ("a_1", 1, 0.1, 1.0, 0.77, True)]
@@ -62,6 +62,19 @@ def test_frames_meta_and_pairs(spark, root):
         cap.read_frames(spark, root, ["stairs"], strict=True).select("t", "f").collect()
 
 
+def test_repeated_and_missing_counters_keep_the_rows(spark, tmp_path):
+    (tmp_path / "ground").mkdir()
+    lines = ['{"t": 0.0, "f": 0}', '{"t": 0.1, "f": 1}', '{"t": 0.2, "f": 1}', '{"t": 0.3}', '{"t": 0.4, "f": null}']
+    (tmp_path / "ground" / "r_frames.jsonl").write_text("\n".join(lines) + "\n")
+    frames = cap.read_frames(spark, str(tmp_path), strict=True)
+    indexed = cap.with_frame_index(frames).orderBy("frame_idx").collect()
+    assert [(r.frame_idx, r.t, r.f) for r in indexed] == [
+        (0, 0.0, 0), (1, 0.1, 1), (2, 0.2, 1), (3, 0.3, None), (4, 0.4, None)
+    ]
+    with pytest.raises(ValueError, match="equal order"):
+        cap.with_frame_index(frames, order=("f",))
+
+
 def test_bones(spark, root):
     bones = cap.bone_table(cap.read_meta(spark, root, ["stairs"]))
     assert [(r.bone, r.bone_idx) for r in cap.bone_lookup(bones, ["head"]).collect()] == [("head", 2)]

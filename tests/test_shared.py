@@ -55,7 +55,7 @@ def test_fingerprint_depends_on_order_and_content(spark):
     df = spark.range(50).select(F.lit("t").alias("k"), "id")
 
     def digest(frame, **options):
-        return m.fingerprint(frame, ["k"], ["id"], F.col("id").cast("string"), page_rows=4, **options).first()[1]
+        return m.fingerprint(frame, ["k"], ["id"], F.col("id").cast("string"), **options).first()[1]
 
     same = digest(df.repartition(7))
     assert digest(df) == same == digest(df, max_rows=10)

@@ -2,6 +2,7 @@
 
 import json
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,8 +53,12 @@ def test_all_stages(spark, raw, tmp_path):
     assert meta.cleaned and meta.num_frames is None
 
     rule = WashRule(min_frames=5, min_duration=0.05)
-    text = stages.wash_stage(spark, out["s1"], out["s2"], rule)
-    assert "| kept_segments | 9 |" in text
+    broken = spark.read.parquet(out["raw"] + "/rejects")
+    text = stages.wash_stage(spark, out["s1"], out["s2"], rule, broken=broken)
+    assert "| kept_segments | 9 |" in text and "| parse_failures | 1 |" in text
+    assert spark.read.parquet(out["s2"] + "/rejects").where("seg_id = 'torn'").count() == 1
+    record = spark.read.parquet(out["s2"] + "/meta").first()
+    assert record.wash.eps_mag == rule.eps_mag and record.i1 > record.i0
     s2 = spark.read.parquet(out["s2"] + "/frames")
     manifest = spark.read.parquet(out["s2"] + "/manifest")
     assert s2.groupBy("seg_id").count().join(manifest, "seg_id").where("count <> n_frames").count() == 0
@@ -65,22 +70,62 @@ def test_all_stages(spark, raw, tmp_path):
     poses = s2.select("seg_id", "category", "frame_idx", pose.alias("q"))
     summary = stages.qa_stage(spark, out["s2"], poses, out["s3"], rule).first()
     assert (summary.segments, summary.failures, summary.status) == (9, 0, "ok")
+    assert spark.read.parquet(out["s3"] + "/rejects").where("seg_id = 'torn'").count() == 1
     assert {r.data_scale for r in spark.read.parquet(out["s3"] + "/manifest").collect()} == {1.0}
 
     text = stages.forward_stage(spark, out["s2"], out["s3"], out["fw"])
     assert "| backward_motions | 1 |" in text
     kept = spark.read.parquet(out["fw"] + "/manifest")
     assert kept.count() == 8
+    assert spark.read.parquet(out["fw"] + "/solved_rejects").count() == 1
+    assert spark.read.parquet(out["fw"] + "/set_differences").count() == 0
+    stamped = spark.read.parquet(out["fw"] + "/meta")
+    assert stamped.count() == 8 and stamped.first().backward_motion_filter.eps_back == 0.2
 
     balance = BalanceRule(min_duration_s=0.1, speed_window_s=0.05, max_excursion_m=0.05, max_p95_speed=0.5)
     refs = kept.select("seg_id", F.lit("").alias("terrain_ref"))
     text = stages.balance_stage(spark, kept, refs, poses, out["set"], balance)
-    assert "## Per terrain" in text and "__no_terrain__/ground" in text
+    assert "## Per category" in text
+    stats = spark.read.parquet(out["set"] + "/stats").where("scope = 'terrain'")
+    assert [r.name for r in stats.collect()] == ["__no_terrain__/ground"]
     final = spark.read.parquet(out["set"] + "/decisions")
     n = {r.decision: r["count"] for r in final.groupBy("decision").count().collect()}
     assert sum(n.values()) == 8 and n["keep"] >= 4
 
 
+def test_balance_refuses_what_it_cannot_judge(spark, tmp_path):
+    good = [0.0, 0.0, 0.9, 1.0] + [0.0] * 32
+    manifest = spark.createDataFrame(
+        [("a", "ground", "r", 3, 4.0, 60.0)],
+        "seg_id string, category string, recording_id string, n_frames long, duration_s double, fps_src double",
+    )
+    meta = spark.createDataFrame([("a", "")], "seg_id string, terrain_ref string")
+    cases = {
+        "missing_qpos": [],
+        "frames_differ": [(0, good), (2, good)],
+        "wrong_width": [(0, good), (1, good[:-1]), (2, good)],
+        "not_finite": [(0, good), (1, [math.nan, *good[1:]]), (2, good)],
+        "zero_quaternion": [(0, good), (1, [0.0] * 36), (2, good)],
+    }
+    for problem, rows in cases.items():
+        poses = spark.createDataFrame([("a", i, q) for i, q in rows], "seg_id string, frame_idx long, q array<double>")
+        with pytest.raises(ValueError, match=problem):
+            stages.balance_stage(spark, manifest, meta, poses, str(tmp_path / problem))
+    poses = spark.createDataFrame([("a", i, good) for i in range(3)], "seg_id string, frame_idx long, q array<double>")
+    with pytest.raises(ValueError, match="duration_differs"):
+        longer = manifest.withColumn("duration_s", F.lit(5.0))
+        stages.balance_stage(spark, manifest, meta, poses, str(tmp_path / "pair"), stage2=longer)
+    stages.balance_stage(spark, manifest, meta, poses, str(tmp_path / "good"), stage2=manifest)
+    assert spark.read.parquet(str(tmp_path / "good/decisions")).count() == 1
+
+
+def test_nothing_settled_stays(spark, raw, tmp_path):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    stages.ingest(spark, raw, str(tmp_path / "raw"))
+    assert set(os.listdir(folder)) <= before
+
+
 def test_terrain_stage(spark, tmp_path):
     square = {
         "asset_path": "/Game/Box", "vertices": [[0, 0, 20], [100, 0, 20], [100, 100, 20], [0, 100, 20]],

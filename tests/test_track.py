@@ -36,6 +36,21 @@ def test_chunked_scan_equals_plain_scan(data):
     assert plain == cut
 
 
+def test_chunked_running_with_nulls_at_the_borders(spark):
+    values = [None, None, 10, 5, None, None, 7, None, 1, None, None, None, float("nan"), None, 2]
+    at = [(k, i, v if v is None else float(v)) for k in (1, 2) for i, v in enumerate(values)]
+    df = spark.createDataFrame([(k, i, v) for k, i, v in at] + [(3, i, None) for i in range(7)], "k int, at int, v double")
+
+    def scanned(max_rows):
+        track = Track.of(df, ["k"], ["at"], max_rows=max_rows).neighbours({"p": F.col("v")}, {"x": F.col("v")})
+        track = track.running(sums={"s": F.col("v")}, maxima={"m": F.col("v")}, totals={"t": F.col("v")})
+        return track.chunked, str(rows(track.result(), "k", "at"))
+
+    plain = scanned(100)
+    for limit in (1, 2, 3, 4):
+        assert scanned(limit) == (True, plain[1])
+
+
 def test_chunks_by_position(data):
     numbered = Track.of(data, ["k"], ["at"]).numbered("i").result()
     by_page = Track.of(numbered, ["k"], ["i"], max_rows=33, position="i")
