@@ -291,7 +291,8 @@ def crop_faces(
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Faces whose centre lies in the box of the trajectory plus a margin, per
-    motion, with the used vertices numbered anew. Where none does, all stay.
+    motion, with the used vertices numbered anew. Where none does, and where a
+    motion has no points, all stay.
 
     ``motion_terrain`` maps motions to terrains. Boxes and face centres meet in
     square cells, so only neighbours are paired; only motions that keep nothing
@@ -300,7 +301,7 @@ def crop_faces(
     box = points.groupBy(key).agg(
         *[f(c).alias(f"_{n}_{c}") for c in "xy" for n, f in (("min", F.min), ("max", F.max))]
     )
-    boxes = motion_terrain.select(key, "terrain_hash").join(box, key)
+    boxes = motion_terrain.select(key, "terrain_hash").join(box, key, "left")
     low = {c: F.col(f"_min_{c}") - margin for c in "xy"}
     high = {c: F.col(f"_max_{c}") + margin for c in "xy"}
     centre = {c: (F.col(f"{c}0") + F.col(f"{c}1") + F.col(f"{c}2")) / 3.0 for c in "xy"}

@@ -19,10 +19,10 @@ from gaitmill.plans.tables import (
 PAIR_SQL = """WITH s2 AS (
   SELECT o_orderkey AS seg_id, 1 + o_custkey % 7 AS n_frames, round(o_totalprice, 0) AS duration_s FROM orders),
 s3 AS (
-  SELECT l_orderkey AS seg_id, COUNT(*) AS n_frames,
+  SELECT CASE WHEN l_orderkey % 10 = 9 THEN -l_orderkey ELSE l_orderkey END AS seg_id, COUNT(*) AS n_frames,
          MIN(o_p + CASE WHEN l_orderkey % 3 = 0 THEN 0.5 ELSE 0.0 END) AS duration_s
   FROM lineitem LEFT JOIN (SELECT o_orderkey AS k, round(o_totalprice, 0) AS o_p FROM orders) ON k = l_orderkey
-  WHERE l_orderkey % 10 <> 9 GROUP BY ALL)"""
+  GROUP BY ALL)"""
 
 
 @REGISTRY.add(
@@ -43,10 +43,13 @@ def manifest_pair(spark, sf_dir):
         (1 + F.col("o_custkey") % 7).alias("n_frames"),
         price.alias("duration_s"),
     )
-    lines = load(spark, sf_dir, "lineitem").where(F.col("l_orderkey") % 10 != 9)
+    order = F.col("l_orderkey")  # a tenth of the orders has lines under another number
+    lines = load(spark, sf_dir, "lineitem").select(
+        F.when(order % 10 == 9, -order).otherwise(order).alias("seg_id")
+    )
     shift = F.when(F.col("seg_id") % 3 == 0, 0.5).otherwise(0.0)
     stage3 = (
-        lines.groupBy(F.col("l_orderkey").alias("seg_id"))
+        lines.groupBy("seg_id")
         .agg(F.count(F.lit(1)).alias("n_frames"))
         .join(stage2.select("seg_id", "duration_s"), "seg_id", "left")
         .withColumn("duration_s", F.col("duration_s") + shift)
@@ -54,6 +57,39 @@ def manifest_pair(spark, sf_dir):
     return b.pair_problems(stage2, stage3)
 
 
+@REGISTRY.add(
+    """WITH e AS (SELECT vec_id // 10 AS seg, vec_id % 10 AS i, vec_id % 97 = 0 AS narrow, vec_id % 89 = 0 AS zero
+  FROM embeddings),
+m AS (SELECT DISTINCT seg AS seg_id, CASE WHEN seg % 13 = 0 THEN 9 ELSE 10 END AS n_frames FROM e),
+p AS (SELECT CASE WHEN seg % 17 = 0 THEN -1 - seg ELSE seg END AS seg_id, COUNT(*) AS n, MIN(i) AS lo, MAX(i) AS hi,
+  COUNT(*) FILTER (WHERE narrow) AS narrow, COUNT(*) FILTER (WHERE zero AND NOT narrow) AS zero FROM e GROUP BY ALL),
+j AS (SELECT m.seg_id, CASE WHEN n IS NULL THEN 'missing_qpos' WHEN narrow > 0 THEN 'wrong_width'
+  WHEN zero > 0 THEN 'zero_quaternion' WHEN NOT (lo = 0 AND hi = n - 1 AND n = n_frames) THEN 'frames_differ' END AS problem
+  FROM m LEFT JOIN p USING (seg_id))
+SELECT * FROM j WHERE problem IS NOT NULL"""
+)
+def descriptor_problems(spark, sf_dir):
+    """Motions of ten vectors each: some without poses, too short ones, narrow and
+    zero poses."""
+    number = F.col("vec_id")
+    motion = F.floor(number / 10).cast("long")
+    pose = F.transform(F.slice("embedding", 1, b.QPOS_WIDTH), lambda v: v.cast("double"))
+    zeroed = F.concat(F.slice(pose, 1, 3), F.array_repeat(F.lit(0.0), 4), F.slice(pose, 8, 29))
+    rows = load(spark, sf_dir, "embeddings").select(
+        motion.alias("motion"),
+        F.when(motion % 17 == 0, -1 - motion).otherwise(motion).alias("seg_id"),
+        (number % 10).alias("frame_idx"),
+        F.when(number % 97 == 0, F.slice(pose, 1, b.QPOS_WIDTH - 1))
+        .when(number % 89 == 0, zeroed)
+        .otherwise(pose)
+        .alias("q"),
+    )
+    motions = rows.select(
+        F.col("motion").alias("seg_id"), F.when(F.col("motion") % 13 == 0, 9).otherwise(10).alias("n_frames")
+    ).distinct()
+    return b.pose_problems(motions, rows)
+
+
 @REGISTRY.add(
     """WITH s2 AS (SELECT doc_id AS seg_id, n_chars AS n_frames FROM documents),
 s3 AS (SELECT doc_id AS seg_id FROM labels),

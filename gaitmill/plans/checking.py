@@ -324,15 +324,17 @@ def forward_durations(spark, sf_dir):
 
 SOLVED_SQL = """WITH a AS (SELECT doc_id AS seg_id FROM labels WHERE quality = 1),
 r AS (SELECT doc_id AS seg_id FROM labels WHERE quality = 0),
-g AS (SELECT doc_id AS seg_id, lang AS category, n_chars AS n_frames FROM documents WHERE lang <> 'de')"""
+g AS (SELECT CASE WHEN lang = 'de' THEN -1 - doc_id ELSE doc_id END AS seg_id, lang AS category,
+  n_chars AS n_frames FROM documents)"""
 
 
 def _solved(spark, sf_dir):
-    """Good labels are accepted, bad ones rejected; documents are the poses."""
+    """Good labels are accepted, bad ones rejected; documents are the poses, German ones
+    under a number that nothing decided on."""
     labels = load(spark, sf_dir, "labels").withColumnRenamed("doc_id", "seg_id")
-    docs = load(spark, sf_dir, "documents").where("lang <> 'de'")
-    solved = docs.select(
-        F.col("doc_id").alias("seg_id"), F.col("lang").alias("category"), F.col("n_chars").alias("n_frames")
+    number = F.when(F.col("lang") == "de", -1 - F.col("doc_id")).otherwise(F.col("doc_id"))
+    solved = load(spark, sf_dir, "documents").select(
+        number.alias("seg_id"), F.col("lang").alias("category"), F.col("n_chars").alias("n_frames")
     )
     return labels.where("quality = 1"), labels.where("quality = 0"), solved
 

@@ -170,8 +170,8 @@ ext AS (SELECT terrain_hash, 3 * COUNT(*) AS n_vertices, MIN(least(x0, x1, x2))
 
 @REGISTRY.add(
     FLAT_SQL
-    + """, g AS (SELECT p_brand AS terrain_hash FROM part WHERE p_size % 9 = 0 AND p_size % 10 <> 0
-  AND p_partkey % 3 = 0 GROUP BY ALL HAVING COUNT(*) > 2),
+    + """, g AS (SELECT p_brand AS terrain_hash FROM part GROUP BY ALL
+  HAVING AVG(CASE WHEN p_size % 9 = 0 AND p_size % 10 <> 0 THEN 1.0 ELSE 0.0 END) > 0.1),
 q AS (SELECT terrain_hash, n_vertices AS n, min_x - 5.0 AS l, max_x + 5.0 AS r, min_y - 5.0 AS d, max_y + 5.0 AS u
   FROM ext WHERE terrain_hash NOT IN (SELECT terrain_hash FROM g))
 SELECT terrain_hash, 0 AS face_idx, n AS a, n + 1 AS b, n + 2 AS c, l AS x0, r AS x1, r AS x2, d AS y0, d AS y1, u AS y2,
@@ -179,20 +179,20 @@ SELECT terrain_hash, 0 AS face_idx, n AS a, n + 1 AS b, n + 2 AS c, l AS x0, r A
 UNION ALL SELECT terrain_hash, 1, n, n + 2, n + 3, l, r, l, d, u, u, 0.0, 0.0, 0.0 FROM q"""
 )
 def ground_quads(spark, sf_dir):
-    """Ground for the terrains with at most two parts that count as ground."""
-    some = meshes(spark, sf_dir).where(F.col("mesh_idx") % 3 == 0)
-    often = some.where(F.col("asset_path").contains(te.GROUND_ASSET)).groupBy("terrain_hash")
-    often = often.count().where("count > 2")
-    grounded = te.has_source_ground(some.join(often, "terrain_hash", "left_semi"))
+    """Ground for the terrains where at most a tenth of the parts counts as ground."""
+    parts = meshes(spark, sf_dir)
+    flag = F.col("asset_path").contains(te.GROUND_ASSET).cast("double")
+    often = parts.groupBy("terrain_hash").agg(F.avg(flag).alias("share")).where("share > 0.1")
+    grounded = te.has_source_ground(parts.join(often, "terrain_hash", "left_semi"))
     return te.ground_quads(extent(triangles(spark, sf_dir)), grounded)
 
 
 @REGISTRY.add(
     """SELECT p_brand AS terrain_hash, bool_or(p_size % 9 = 0 AND p_size % 10 <> 0) AS has_ground
-FROM part WHERE p_partkey % 2 = 0 GROUP BY ALL"""
+FROM part GROUP BY ALL"""
 )
 def source_ground(spark, sf_dir):
-    return te.has_source_ground(meshes(spark, sf_dir).where("normals IS NOT NULL"))
+    return te.has_source_ground(meshes(spark, sf_dir))
 
 
 @REGISTRY.add(
@@ -251,7 +251,7 @@ TRACK_SQL = """pts AS (
     + ", "
     + TRACK_SQL
     + """, box AS (SELECT seg_id, terrain_hash, MIN(x) - 3 AS l, MAX(x) + 3 AS r, MIN(y) - 3 AS d, MAX(y) + 3 AS u
-  FROM pts WHERE x > 1.5 GROUP BY ALL),
+  FROM pts GROUP BY ALL),
 j AS (SELECT seg_id, instance_idx, a, b, c, (x0+x1+x2)/3 BETWEEN l AND r AND (y0+y1+y2)/3 BETWEEN d AND u AS near
   FROM box JOIN tri USING (terrain_hash)),
 k AS (SELECT * FROM j WHERE near OR seg_id NOT IN (SELECT seg_id FROM j WHERE near)),
@@ -262,7 +262,7 @@ JOIN num na ON na.seg_id = k.seg_id AND na.v = a JOIN num nb ON nb.seg_id = k.se
 JOIN num nc ON nc.seg_id = k.seg_id AND nc.v = c"""
 )
 def bbox_crop(spark, sf_dir):
-    points = tracks(spark, sf_dir).where("x > 1.5")
+    points = tracks(spark, sf_dir)
     motions = points.select("seg_id", "terrain_hash").distinct()
     return te.crop_faces(triangles(spark, sf_dir), points, motions)
 

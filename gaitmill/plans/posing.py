@@ -22,7 +22,7 @@ from gaitmill.plans.tables import COMMANDS_SQL, load, numbered_events
 JOINTS = ("pelvis", "head", "foot_l", "foot_r", "ball_l", "ball_r", "thigh_l", "hand_r", "spine_05")
 ALIGN = Rigid.from_wxyz((0.96, -0.12, 0.2, 0.05), (0.5, -1.25, 0.03))
 DELTA = {"pelvis": (0.5, 0.5, -0.5, 0.5), "head": (0.8, 0.0, 0.6, 0.0)}
-FACTORS = {"pelvis": 1.1932, "thigh_l": 1.1932, "hand_r": 1.0606, "foot_l": 1.05}
+FACTORS = {"pelvis": 1.25, "thigh_l": 1.25, "hand_r": 1.125, "foot_l": 1.0625}
 OFFSETS = {
     "pelvis": ((0.0, 0.0, 0.0), (0.6, 0.0, 0.0, -0.8)),
     "hand_r": ((0.1, -0.2, 0.3), (0.8, 0.6, 0.0, 0.0)),
@@ -292,14 +292,18 @@ def command_table(spark, sf_dir):
 
 @REGISTRY.add(
     COMMANDS_SQL
-    + """, motion AS (SELECT recording_id, COUNT(*) AS n FROM cmd WHERE event_type <> 'view' GROUP BY ALL)
+    + """, motion AS (SELECT CASE WHEN event_type = 'view' THEN -1 - recording_id ELSE recording_id END AS recording_id,
+  COUNT(*) AS n FROM cmd GROUP BY ALL)
 SELECT recording_id, COUNT(*) AS frames, MAX(i) AS last FROM cmd JOIN motion USING (recording_id)
 WHERE i < n GROUP BY ALL"""
 )
 def align_lengths(spark, sf_dir):
-    """Commands of all events against a motion of the events that are no views."""
+    """Commands of all events against motions of the same events, where views belong to
+    a motion of their own."""
     frames = numbered_events(spark, sf_dir)
-    others = frames.where("event_type <> 'view'").drop("frame_idx", "n_frames")
+    recording = F.col("recording_id")
+    apart = F.when(F.col("event_type") == "view", -1 - recording).otherwise(recording)
+    others = frames.withColumn("recording_id", apart).drop("frame_idx", "n_frames")
     motion = Track.of(others, ["recording_id"], ["ts_us", "event_id"]).numbered("frame_idx").result()
     cut = cmd.align_lengths(frames, motion, ["recording_id", "frame_idx"])
     return cut.groupBy("recording_id").agg(
