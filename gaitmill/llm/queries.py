@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +100,23 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CONTROL_SQL = "|".join(re.escape(c) for c in chat.CONTROL)
+SQL["op10_chat_format"] = rf"""WITH t AS (
+  SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+l AS (SELECT *, length(role) + length(text)
+    + length(role) - length(replace(role, '\', '')) + length(text) - length(replace(text, '\', ''))
+    + len(regexp_extract_all(role, '{CONTROL_SQL}')) + len(regexp_extract_all(text, '{CONTROL_SQL}'))
+    + {sum(map(len, (chat.OPEN, chat.BETWEEN, chat.CLOSE)))} AS size FROM t),
+g AS (SELECT conv_id, COUNT(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS said,
+    COALESCE(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '') AS learned,
+    CAST(SUM(size) AS BIGINT) AS formatted_chars FROM l GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learned) AS loss_chars,
+  sha256(learned) AS loss_sha256, formatted_chars FROM g"""
+
+
 @query
 def op1_omh_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class (smallest doc_id) and class size of every document."""
