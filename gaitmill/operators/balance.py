@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gaitmill.functions.text import present, stable_hash
 from gaitmill.operators.quantiles import exact_quantiles
-from gaitmill.operators.shared import count_where, must_be_empty, salted_join
+from gaitmill.operators.shared import count_where, must_be_empty, salted_join, settle
 from gaitmill.operators.track import MAX_ROWS, Track, attach
 
 # Reject reasons, name of the group without terrain, strata bins.
@@ -274,6 +274,7 @@ def pick_round_robin(
             "_hs": stable_hash(seed, F.lit("stratum"), *stratum),
         }
     )
+    hashed = settle(hashed)  # sizes, rounds and turns all read it
     rounds = Track.of(hashed, [group, *stratum], ["_hm", key], max_rows=max_rows)
     turns = rounds.numbered("_round").result()
     order = ["_round", "_hs", *stratum]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gaitmill.functions import rotation as rot
 from gaitmill.functions.rotation import Rigid, Vec
 from gaitmill.functions.text import present
-from gaitmill.operators.shared import must_be_empty
+from gaitmill.operators.shared import must_be_empty, settle
 from gaitmill.operators.track import MAX_ROWS, Track
 
 # Asset names with a meaning, sizes in metres (corridor in cm).
@@ -322,9 +322,10 @@ def crop_faces(
     for c in "xy":
         near = near & F.col(f"_centre_{c}").between(low[c], high[c])
     columns = [key, "instance_idx", "face_idx", "a", "b", "c"]
-    inside = covers.join(faces, ["terrain_hash", "_cell_x", "_cell_y"]).where(near).select(*columns)
+    met = covers.join(faces, ["terrain_hash", "_cell_x", "_cell_y"])
+    inside = settle(met.where(near).select(*columns))
     empty = boxes.join(inside.select(key).distinct(), key, "left_anti")
-    kept = inside.unionByName(empty.join(faces, "terrain_hash").select(*columns))
+    kept = settle(inside.unionByName(empty.join(faces, "terrain_hash").select(*columns)))
     used = kept.select(key, F.explode(F.array("a", "b", "c")).alias("vertex_id")).distinct()
     numbers = Track.of(used, [key], ["vertex_id"], max_rows=max_rows).numbered("_new").result()
     out = kept.select(key, "instance_idx", "face_idx", "a", "b", "c")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gaitmill.operators import clean as c
 from gaitmill.operators import versions
+from gaitmill.operators.shared import settle
 from gaitmill.plans.registry import REGISTRY
 from gaitmill.plans.tables import (
     EVENT_KEYS,
@@ -113,11 +114,11 @@ def clean_stats(spark, sf_dir):
 
 def _versions(spark, sf_dir):
     rows, cleaned, filled = _cleaned_rows(spark, sf_dir)
-    manifest = cleaned.manifest.withColumn("changed", F.col("n_stuck") > 2)
+    manifest = settle(cleaned.manifest.withColumn("changed", F.col("n_stuck") > 2))
     columns = ["category", "recording_id", "seg_id", "t", "value"]
     raw = rows.withColumn("seg_id", F.col("recording_id").cast("string")).select(*columns)
     changed = manifest.where("changed").select(*EVENT_KEYS)
-    segments = filled.select(*columns).join(changed, list(EVENT_KEYS), "left_semi")
+    segments = settle(filled.select(*columns).join(changed, list(EVENT_KEYS), "left_semi"))
     return raw, manifest, segments, c.output_segments(cleaned, EVENTS_AT)
 
 
@@ -162,7 +163,7 @@ def dataset_swaps(spark, sf_dir):
 )
 def dataset_rollback(spark, sf_dir):
     raw, manifest, segments, names = _versions(spark, sf_dir)
-    applied = versions.apply_cleaning(raw, manifest, segments, EVENT_KEYS)
+    applied = settle(versions.apply_cleaning(raw, manifest, segments, EVENT_KEYS))
     swaps = versions.swap_manifest(manifest, names, EVENT_KEYS)
     restored = versions.roll_back(applied, raw, swaps, EVENT_KEYS, "seg_id")
     return restored.groupBy("seg_id").agg(

@@ -99,7 +99,7 @@ def median_of_medians(spark, sf_dir):
 )
 def segment_durations(spark, sf_dir):
     rows = events(spark, sf_dir)
-    filled = c.cleaned_frames(rows, c.clean(rows, EVENTS_AT, EVENTS_RULE), EVENTS_AT, values=["value"])
+    filled = c.cleaned_frames(rows, c.clean(rows, EVENTS_AT, EVENTS_RULE, settled=True), EVENTS_AT, values=["value"])
     return s.segment_durations(filled, ["seg_id"], "frame_idx")
 
 
@@ -204,7 +204,7 @@ SELECT metric, round(before, 4) AS before, round(after, 4) AS after, round(after
 )
 def before_after(spark, sf_dir):
     rows = events(spark, sf_dir)
-    filled = c.cleaned_frames(rows, c.clean(rows, EVENTS_AT, EVENTS_RULE), EVENTS_AT, values=["value"])
+    filled = c.cleaned_frames(rows, c.clean(rows, EVENTS_AT, EVENTS_RULE, settled=True), EVENTS_AT, values=["value"])
 
     def metrics(df, key, stage):
         one = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))

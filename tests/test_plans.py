@@ -33,3 +33,11 @@ def test_number_of_shuffles(spark, name, shuffles):
 def test_narrow_scan(spark):
     schema = plan_of(spark, "duration_histogram").split("ReadSchema: ")[1]
     assert schema.startswith("struct<o_orderstatus:string,o_totalprice:double>")
+
+
+@pytest.mark.parametrize(
+    "name", ["dataset_apply", "dataset_swaps", "dataset_rollback", "bbox_crop", "balance_select", "balance_audit"]
+)
+def test_intermediates_are_evaluated_once(spark, name):
+    """What several branches read is written once, so the last plan stays small."""
+    assert plan_of(spark, name).count("Exchange ") <= 12
