@@ -277,9 +277,20 @@ def _forward(spark, sf_dir):
     return fw.judge(manifest.withColumnRenamed("recording_id", "seg_id"), scan)
 
 
-@REGISTRY.add(MOTION_SQL + " SELECT * FROM scan")
+@REGISTRY.add(
+    COMMANDS_SQL
+    + """, odd AS (SELECT * REPLACE (CASE WHEN event_id % 41 <> 0 THEN forward END AS forward) FROM cmd)
+SELECT recording_id AS seg_id, COUNT(*) AS frame_count,
+  COUNT(*) FILTER (WHERE forward < -0.99) AS backward_frames,
+  MIN(i) FILTER (WHERE forward < -0.99) AS first_backward_frame,
+  MAX(i) FILTER (WHERE forward < -0.99) AS last_backward_frame,
+  MIN(forward) AS min_forward_cmd, MAX(forward) AS max_forward_cmd,
+  COUNT(*) FILTER (WHERE forward IS NULL) AS invalid_frames FROM odd GROUP BY ALL"""
+)
 def forward_scan(spark, sf_dir):
+    """Some frames have no command."""
     rows = numbered_events(spark, sf_dir).withColumnRenamed("recording_id", "seg_id")
+    rows = rows.withColumn("forward", F.when(F.col("event_id") % 41 != 0, F.col("forward")))
     return fw.scan_motion(rows, ["seg_id"], "frame_idx", "forward", FORWARD_EPS)
 
 

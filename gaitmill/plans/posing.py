@@ -8,8 +8,10 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaitmill.functions import rotation as rot
+from gaitmill.functions.blend import NEARLY_PARALLEL, blend
 from gaitmill.functions.rotation import Rigid, Vec
 from gaitmill.operators import commands as cmd
 from gaitmill.operators import geometry as geo
@@ -491,3 +493,71 @@ def ground_root(spark, sf_dir):
     return rounded(
         done.select("seg_id", "frame_idx", "dz", "root_z_grounded"), "dz", "root_z_grounded"
     )
+
+
+# -- values between two frames ---------------------------------------------------------------
+
+_UNIT = ", ".join(
+    f"e[{o + k}] / sqrt(e[{o}]*e[{o}] + e[{o + 1}]*e[{o + 1}] + e[{o + 2}]*e[{o + 2}] + e[{o + 3}]*e[{o + 3}]) AS {n}{k}"
+    for n, o in (("a", 1), ("c", 5))
+    for k in range(4)
+)
+_flat = [f"(a{k} + u * (s * b{k} - a{k}))" for k in range(4)]
+_length = "sqrt(" + " + ".join(f"{f} * {f}" for f in _flat) + ")"
+_turned = ", ".join(
+    f"round(CASE WHEN abs(d) > {NEARLY_PARALLEL} THEN {f} / {_length}"
+    f" ELSE sin((1 - u) * g) / sin(g) * a{k} + s * sin(u * g) / sin(g) * b{k} END, 6)"
+    for k, f in enumerate(_flat)
+)
+BETWEEN_SQL = f"""WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+n AS (SELECT vec_id, e, CAST(vec_id % 11 AS DOUBLE) / 10.0 AS u, {_UNIT} FROM e),
+q AS (SELECT *, {", ".join(f"CASE WHEN vec_id % 7 = 0 THEN -a{k} ELSE c{k} END AS b{k}" for k in range(4))} FROM n),
+m AS (SELECT *, a0*b0 + a1*b1 + a2*b2 + a3*b3 AS d FROM q),
+g AS (SELECT *, CASE WHEN d < 0 THEN -1.0 ELSE 1.0 END AS s, acos(least(abs(d), 1.0)) AS g FROM m)"""
+
+
+def _between(spark, sf_dir):
+    """Two unit quaternions of each vector and a fraction; some are the same turn."""
+    first, second = [number(k) for k in range(4)], [number(4 + k) for k in range(4)]
+
+    def unit(parts):
+        length = F.sqrt(sum((p * p for p in parts[1:]), parts[0] * parts[0]))
+        return F.array(*[p / length for p in parts])
+
+    a = unit(first)
+    same = F.transform(a, lambda v: -v)
+    return load(spark, sf_dir, "embeddings").select(
+        "vec_id",
+        "embedding",
+        a.alias("a"),
+        F.when(F.col("vec_id") % 7 == 0, same).otherwise(unit(second)).alias("b"),
+        (F.col("vec_id") % 11 / 10.0).cast("double").alias("u"),
+    )
+
+
+@REGISTRY.add(BETWEEN_SQL + f" SELECT vec_id, UNNEST(range(4)) AS part, UNNEST([{_turned}]) AS value FROM g")
+def slerp_between(spark, sf_dir):
+    rows = _between(spark, sf_dir)
+    turned = blend(F.col("a"), F.col("b"), T.ArrayType(T.DoubleType()), F.col("u"), name="q")
+    parts = rows.select("vec_id", F.posexplode(turned).alias("part", "value"))
+    return rounded(parts.select("vec_id", F.col("part").cast("long").alias("part"), "value"), "value")
+
+
+@REGISTRY.add(
+    BETWEEN_SQL
+    + """ SELECT vec_id, round(e[9], 6) AS held, round(e[9] + u * (e[10] - e[9]), 6) AS blended,
+  CASE WHEN u < 0.5 THEN vec_id % 5 ELSE vec_id % 3 END AS snapped FROM g"""
+)
+def joints_between(spark, sf_dir):
+    """Joints stay as they are unless records are blended too; integers snap."""
+    kind = T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("n", T.LongType())]))
+    side = [
+        F.array(F.struct(number(8 + i).alias("x"), (F.col("vec_id") % n).alias("n")))
+        for i, n in enumerate((5, 3))
+    ]
+    rows = _between(spark, sf_dir)
+    held, mixed = (blend(*side, kind, F.col("u"), records=r)[0] for r in ("hold", "blend"))
+    return rounded(
+        rows.select("vec_id", held["x"].alias("held"), mixed["x"].alias("blended"), mixed["n"].alias("snapped")),
+        "held", "blended",
+    )
