@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gaitmill.functions import rotation as rot
 from gaitmill.functions.rotation import Rigid, Vec
 from gaitmill.functions.text import present
-from gaitmill.operators.shared import must_be_empty, settle
+from gaitmill.operators.shared import must_be_empty, same_key_join, settle
 from gaitmill.operators.track import MAX_ROWS, Track
 
 # Asset names with a meaning, sizes in metres (corridor in cm).
@@ -165,7 +165,13 @@ def triangle_table(geometry: DataFrame) -> DataFrame:
     )
 
 
-def bounds(vertices: DataFrame, by: Sequence[str] = ("terrain_hash",)) -> DataFrame:
+def bounds(
+    vertices: DataFrame, by: Sequence[str] = ("terrain_hash",), triangles: DataFrame | None = None
+) -> DataFrame:
+    """Extent and number of vertices; of ``triangles`` too where they are given."""
+    if triangles is not None:
+        faces = triangles.groupBy(*by).agg(F.count(F.lit(1)).alias("n_triangles"))
+        return same_key_join(bounds(vertices, by), faces, list(by))
     return vertices.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_vertices"),
         *[f(c).alias(f"{n}_{c}") for c in "xyz" for n, f in (("min", F.min), ("max", F.max))],
@@ -342,9 +348,11 @@ def near_trajectory(
     box_id: Sequence[str],
     *,
     reach: float = CORRIDOR_CM,
+    each: Sequence[str] = (),
 ) -> DataFrame:
     """Semi-join: boxes (``min_x, min_y, max_x, max_y``) that have a point of the
-    same ``by`` within ``reach``.
+    same ``by`` within ``reach``. With ``each``, columns of the points, the result is
+    (``by``, ``each``, ``box_id``) instead: which of them come near which box.
 
     Both sides are cut into square cells of ``reach``. Points collapse to one row
     per cell with the rectangle they span, however many share a cell. Against that
@@ -355,8 +363,8 @@ def near_trajectory(
     def cell_of(value: Column) -> Column:
         return F.floor(value / reach).cast("long")
 
-    at = points.select(*by, "x", "y", cell_of(F.col("x")).alias("_cx"), cell_of(F.col("y")).alias("_cy"))
-    cells = at.groupBy(*by, "_cx", "_cy").agg(
+    at = points.select(*by, *each, "x", "y", cell_of(F.col("x")).alias("_cx"), cell_of(F.col("y")).alias("_cy"))
+    cells = at.groupBy(*by, *each, "_cx", "_cy").agg(
         *[f(c).alias(f"_{n}_{c}") for c in "xy" for n, f in (("low", F.min), ("high", F.max))]
     )
     covers = boxes.withColumn(
@@ -383,13 +391,15 @@ def near_trajectory(
     least = nearest("x") * nearest("x") + nearest("y") * nearest("y")
     most = farthest("x") * farthest("x") + farthest("y") * farthest("y")
     judged = pairs.withColumns({"_least": least, "_most": most}).where(F.col("_least") <= limit)
-    sure = judged.where(F.col("_most") <= limit).select(*by, *box_id)
+    sure = judged.where(F.col("_most") <= limit).select(*by, *each, *box_id)
     open_ = judged.where(F.col("_most") > limit)
-    exact = at.select(*by, "_cx", "_cy", "x", "y").distinct()
+    exact = at.select(*by, *each, "_cx", "_cy", "x", "y").distinct()
     d2 = outside(F.col("x"), "x") * outside(F.col("x"), "x")
     d2 = d2 + outside(F.col("y"), "y") * outside(F.col("y"), "y")
-    found = open_.join(exact, [*by, "_cx", "_cy"]).where(d2 <= limit).select(*by, *box_id)
-    near = sure.unionByName(found).distinct()
+    met = open_.join(exact, [*by, *each, "_cx", "_cy"]).where(d2 <= limit)
+    near = sure.unionByName(met.select(*by, *each, *box_id)).distinct()
+    if each:
+        return near
     return boxes.join(near, [*by, *box_id], "left_semi")
 
 

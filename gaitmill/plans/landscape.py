@@ -122,11 +122,13 @@ def terrain_faces(spark, sf_dir):
 @REGISTRY.add(
     GEOMETRY_SQL
     + """ SELECT terrain_hash, COUNT(*) AS n_vertices, round(MIN(x), 6) AS min_x, round(MAX(x), 6) AS max_x,
-  round(MIN(y), 6) AS min_y, round(MAX(y), 6) AS max_y, round(MIN(z), 6) AS min_z, round(MAX(z), 6) AS max_z
-  FROM vert GROUP BY ALL"""
+  round(MIN(y), 6) AS min_y, round(MAX(y), 6) AS max_y, round(MIN(z), 6) AS min_z, round(MAX(z), 6) AS max_z,
+  (SELECT COUNT(*) FROM tri WHERE tri.terrain_hash = vert.terrain_hash) AS n_triangles
+  FROM vert GROUP BY terrain_hash"""
 )
 def mesh_bounds(spark, sf_dir):
-    found = te.bounds(te.vertex_table(geometry(spark, sf_dir)))
+    placed = geometry(spark, sf_dir)
+    found = te.bounds(te.vertex_table(placed), triangles=te.triangle_table(placed))
     return rounded(found, *[f"{n}_{c}" for n in ("min", "max") for c in "xyz"])
 
 
@@ -319,11 +321,12 @@ def interacted_instances(spark, sf_dir):
     points = tracks(spark, sf_dir)
     walks = points.select("seg_id", "terrain_hash").distinct()
     near = te.near_trajectory(
-        boxes(spark, sf_dir).join(walks, "terrain_hash"), points, ["seg_id"], ["instance_idx"], reach=REACH
-    )
-    said = events(spark, sf_dir).groupBy(F.col("recording_id").alias("seg_id")).agg(
-        F.collect_set(F.col("props.k").cast("long")).alias("interacted_terrain_instance_ids")
+        boxes(spark, sf_dir), points, ["terrain_hash"], ["instance_idx"], reach=REACH, each=["seg_id"]
     )
+    said = events(spark, sf_dir).select(
+        F.col("recording_id").alias("seg_id"),
+        F.array(F.col("props.k").cast("long")).alias("interacted_terrain_instance_ids"),
+    ).distinct()
     listed = te.interacted_instances(said.join(walks, "seg_id"), ["seg_id"])
     return te.interaction_agreement(listed, near, ["seg_id"])
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaitmill.functions.rotation import Rigid
-from gaitmill.operators import balance, clean, forward, stage3, stats, terrain, versions, wash
+from gaitmill.operators import balance, clean, commands, forward, geometry, stage3, stats, terrain, versions, wash
 from gaitmill.operators.shared import must_be_empty, settle, tidy
 from gaitmill.sinks import reports, tables
 from gaitmill.sources import captures
@@ -227,6 +227,52 @@ def balance_stage(
     return text
 
 
+@tidy
+def export_stage(
+    spark: SparkSession,
+    stage2: str,
+    out: str,
+    align: Rigid,
+    *,
+    factor: float = 1.0,
+    offset: Sequence[float] = (0.0, 0.0, 0.0),
+) -> None:
+    """``commands`` in robot axes, ``skeleton`` with the recorded world pose of every
+    joint, scaled, in metres and moved by ``offset``; one row per joint."""
+    keys = ["category", "seg_id", "frame_idx"]
+    frames = _read(spark, stage2, "frames")
+    tables.write_frames(commands.command_table(frames, keys, align), f"{out}/commands", mode="overwrite")
+    pose = geometry.robot_pose(geometry.scaled_pose(geometry.world_pose(F.col("joints")), factor))
+    joints = frames.select(*keys, F.posexplode(pose).alias("joint_idx", "j")).select(*keys, "joint_idx", "j.*")
+    moved = joints.withColumns({c: F.col(c) + F.lit(float(o)) for c, o in zip("xyz", offset)})
+    tables.write_frames(moved, f"{out}/skeleton", mode="overwrite")
+
+
+STAGE_METRICS = ("motions", "frames", "seconds")
+
+
+def pipeline_report(spark: SparkSession, stages: Sequence[tuple[str, str]], out: str) -> str:
+    """Report over several stages, from (title, folder) in their order: what each one
+    kept, and how that differs from the one before. Reads the manifests."""
+    sections: list[list[str]] = []
+    before: DataFrame | None = None
+    for title, folder in stages:
+        totals = _read(spark, folder, "manifest").agg(
+            F.count(F.lit(1)).alias("motions"),
+            F.coalesce(F.sum("n_frames"), F.lit(0)).alias("frames"),
+            F.coalesce(F.sum("duration_s"), F.lit(0.0)).alias("seconds"),
+        )
+        sections.append(reports.metric_section(title, totals.first().asDict()))
+        if before is not None:
+            pair = [stats.long_metrics(df, tag, STAGE_METRICS) for df, tag in ((before, "raw"), (totals, "clean"))]
+            rows = reports.collected(stats.before_after(*pair))
+            sections.append(reports.change_section(f"{title}: change", rows))
+        before = totals
+    text = reports.stages_report(sections)
+    reports.write_text(spark, out, text)
+    return text
+
+
 @tidy
 def terrain_stage(
     spark: SparkSession,
@@ -243,9 +289,9 @@ def terrain_stage(
     source = settle(captures.read_terrain(spark, folder))
     meshes = captures.terrain_meshes(source)
     placed = terrain.placed_meshes(captures.terrain_instances(source), meshes)
-    geometry = terrain.world_geometry(placed, align, ground_cm=ground_cm)
-    vertices = settle(terrain.vertex_table(geometry))
-    triangles = settle(terrain.triangle_table(geometry))
+    world = terrain.world_geometry(placed, align, ground_cm=ground_cm)
+    vertices = settle(terrain.vertex_table(world))
+    triangles = settle(terrain.triangle_table(world))
     extent = terrain.bounds(vertices)
     ground = terrain.ground_quads(extent, terrain.has_source_ground(meshes), z=ground_z)
     tables.write_table(vertices, f"{out}/vertices")

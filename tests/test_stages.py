@@ -93,6 +93,23 @@ def test_all_stages(spark, raw, tmp_path):
     assert sum(n.values()) == 8 and n["keep"] >= 4
 
 
+def test_export_and_report(spark, raw, tmp_path):
+    out = {n: str(tmp_path / n) for n in ("raw", "s1", "s2", "ex")}
+    stages.ingest(spark, raw, out["raw"])
+    stages.clean_stage(spark, out["raw"], out["s1"], CleanRule(min_frames=5, min_duration=0.05))
+    stages.wash_stage(spark, out["s1"], out["s2"], WashRule(min_frames=5, min_duration=0.05))
+    align = Rigid.from_wxyz((1.0, 0.0, 0.0, 0.0), (0.0, 0.0, 0.0))
+    stages.export_stage(spark, out["s2"], out["ex"], align, factor=0.5, offset=(0.0, 0.0, 1.0))
+    frames = spark.read.parquet(out["s2"] + "/frames")
+    sent = spark.read.parquet(out["ex"] + "/commands")
+    assert sent.count() == frames.count() and sent.where("move_forward = 1").count() > 0
+    joints = spark.read.parquet(out["ex"] + "/skeleton").join(frames.select("seg_id", "frame_idx", "root"), ["seg_id", "frame_idx"])
+    assert joints.count() == frames.count()
+    assert joints.where("abs(z - 1.45) > 1e-9 OR abs(y - root.p[0] * 0.005) > 1e-9").count() == 0
+    text = stages.pipeline_report(spark, [("Stage 2", out["s2"]), ("Again", out["s2"])], str(tmp_path / "report"))
+    assert "## Stage 2" in text and "## Again: change" in text and "(+0.0%)" in text
+
+
 def test_balance_refuses_what_it_cannot_judge(spark, tmp_path):
     good = [0.0, 0.0, 0.9, 1.0] + [0.0] * 32
     manifest = spark.createDataFrame(
