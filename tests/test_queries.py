@@ -5,6 +5,7 @@ import pytest
 from compare import TABLES, compare
 
 import __spark_entry__ as entry
+from gaitmill.plans import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,11 +18,16 @@ def con():
     return connection
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(REGISTRY.queries))
 def test_query(spark, con, name):
     text, good = compare(spark, con, SF, name)
     assert good, text
 
 
+def test_every_query_is_offered():
+    assert set(REGISTRY.queries) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
