@@ -90,7 +90,7 @@ def _ranked(
     high = F.max(F.when(F.col("_hit.high"), F.col("_v")))
     part = F.max("_hit.part")
     at = hits.groupBy(*by, F.col("_hit.i").alias("_i")).agg(
-        (low * (1 - part) + high * part).alias("_q")
+        F.when(part == 0, low).otherwise(low * (1 - part) + high * part).alias("_q")
     )
     # len(probabilities) rows per group
     ordered = F.sort_array(F.collect_list(F.struct("_i", "_q")))

@@ -77,6 +77,28 @@ def test_ranked_quantiles_equal_builtin(data, by):
         np.testing.assert_allclose(a[-1], b[-1])
 
 
+def test_ranked_quantiles_with_nulls_and_infinities(spark):
+    values = [None, 1.0, float("inf"), None, -3.0, 2.5, 2.5, float("-inf"), float("inf"), 0.0, None]
+    df = spark.createDataFrame([(k, v) for k in (1, 2) for v in values] + [(3, None)], "k int, v double")
+    ps = [0.0, 0.2, 0.5, 0.75, 1.0]
+    plain = str(rows(exact_quantiles(df, ["k"], "v", ps), "k"))
+    assert str(rows(exact_quantiles(df, ["k"], "v", ps, max_values=2), "k")) == plain
+
+
+def test_scan_is_the_same_at_every_size(spark):
+    from gaitmill.operators import stats
+    from gaitmill.plans.tables import EVENTS_AT, events
+
+    frames = events(spark, "/root/testdata/sf0.001")
+    plain = stats.scan_recordings(frames, EVENTS_AT)
+    cut = stats.scan_recordings(frames, EVENTS_AT, max_rows=7)
+    keys = list(EVENTS_AT.keys)
+    for a, b in zip(rows(plain.select(*sorted(plain.columns)), *keys), rows(cut.select(*sorted(plain.columns)), *keys), strict=True):
+        assert [x if not isinstance(x, float) else round(x, 9) for x in a] == [
+            x if not isinstance(x, float) else round(x, 9) for x in b
+        ]
+
+
 def test_halo_and_attach(data):
     numbered = Track.of(data.where("k is not null"), ["k"], ["at"]).numbered("i").result()
     paged, w, own = halo(numbered, ["k"], "i", 2, page_rows=10)
