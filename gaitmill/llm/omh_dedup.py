@@ -3,7 +3,8 @@
 A document is the sequence of its five-word k-mers, each labelled with its occurrence
 number. Under each of ``TABLES`` hash orders a sketch keeps the smallest labelled
 k-mers and puts them in text order, so two documents meet where they share k-mers in
-the same order. Candidates are verified by a banded alignment of the k-mer sequences.
+the same order. Candidates are verified by a banded alignment of the sequences of their
+distinct k-mers, so a line that is repeated often does not make texts alike.
 """
 
 from __future__ import annotations
@@ -29,9 +30,14 @@ DEPTHS = (2, 4, 8)
 SMALL = 24
 #: Sketches that two documents must share where all their buckets are small. At a
 #: similarity of 0.8 a sketch of two is shared with probability 0.63, so 16 tables give
-#: fewer than 3 in about two of 100,000 cases.
-MIN_SHARED = 3
-STORE = 400_000
+#: fewer than 2 in about four of 1,000,000 cases.
+MIN_SHARED = 2
+#: Members of a bucket that stays large, on average, that all others of it meet in a
+#: round; how many rounds in a row must find nothing for the search to end, and most.
+ANCHORS, QUIET, MAX_ROUNDS = 16, 1, 2
+#: Lots that the copies of a text are dealt into where one of them is wanted.
+LOTS = 32
+STORE = 250_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FOLD = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -51,8 +57,8 @@ class _WordHashes(dict):
 _hashes = _WordHashes()
 
 
-def labelled_kmers(text: str) -> np.ndarray:
-    """64-bit hashes of the k-mers of a text in order, with their occurrence numbers.
+def plain_kmers(text: str) -> np.ndarray:
+    """64-bit hashes of the k-mers of a text in order.
 
     Words are split at white space and lower-cased. A text of one to four words has one
     k-mer, a text without words none.
@@ -66,7 +72,18 @@ def labelled_kmers(text: str) -> np.ndarray:
     kmers = np.full(n - size + 1, size, np.uint64)
     for i in range(size):
         kmers = kmers * _FOLD + word[i : n - size + 1 + i]
-    kmers ^= kmers >> np.uint64(29)
+    return kmers ^ (kmers >> np.uint64(29))
+
+
+def distinct_kmers(text: str) -> np.ndarray:
+    """The k-mers of a text in the order of their first occurrence."""
+    kmers = plain_kmers(text)
+    return kmers[np.sort(np.unique(kmers, return_index=True)[1])]
+
+
+def labelled_kmers(text: str) -> np.ndarray:
+    """The k-mers of a text in order, each with its occurrence number hashed in."""
+    kmers = plain_kmers(text)
     order = np.argsort(kmers, kind="stable")
     ordered = kmers[order]
     again = ordered[1:] == ordered[:-1]
@@ -79,14 +96,27 @@ def labelled_kmers(text: str) -> np.ndarray:
     return kmers
 
 
-def sketches(kmers: np.ndarray) -> np.ndarray:
-    """Keys of all tables and depths, shape (``TABLES``, depths): signed 64 bits."""
+def sketches(text: str) -> np.ndarray:
+    """Keys of all tables and depths, shape (``TABLES``, depths): signed 64 bits; no rows
+    for a text without words.
+
+    Every second table looks at first occurrences only: a line that is repeated very
+    often would fill the sketches else, and texts that repeat it would all meet.
+    """
+    labelled, distinct = labelled_kmers(text), distinct_kmers(text)
+    if not len(labelled):
+        return np.empty((0, len(DEPTHS)), np.int64)
+    half = TABLES // 2
+    return np.concatenate([_keys(labelled, _SEEDS[:half]), _keys(distinct, _SEEDS[half:])])
+
+
+def _keys(kmers: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     n = len(kmers)
     keep = min(n, DEPTHS[-1])
-    block = max(1, 1_000_000 // n)
-    keys = np.empty((TABLES, len(DEPTHS)), np.uint64)
-    for lo in range(0, TABLES, block):
-        hashed = (kmers ^ _SEEDS[lo : lo + block, None]) * _MIX
+    block = max(1, 262_144 // n)
+    keys = np.empty((len(seeds), len(DEPTHS)), np.uint64)
+    for lo in range(0, len(seeds), block):
+        hashed = (kmers ^ seeds[lo : lo + block, None]) * _MIX
         hashed ^= hashed >> np.uint64(32)
         hashed *= _FOLD
         if n > keep:
@@ -107,8 +137,8 @@ def sketches(kmers: np.ndarray) -> np.ndarray:
 def aligned_similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     """Share of aligned k-mers, ``m / (len(a) + len(b) - m)``; 0 where below ``least``.
 
-    Labelled k-mers occur once in a text, so the best alignment is the longest
-    increasing run of the places that b's k-mers have in a. An alignment that reaches
+    Distinct k-mers occur once, so the best alignment is the longest increasing run of
+    the places that b's k-mers have in a. An alignment that reaches
     ``least`` strays from the diagonal by no more than the longer text has unaligned
     k-mers: matches outside that band are left out.
     """
@@ -147,10 +177,10 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         digests, flat = [], []
         for digest, text in zip(batch.column(0).to_pylist(), bpe.texts(batch.column(1))):
-            kmers = labelled_kmers(text)
-            if len(kmers):
+            keys = sketches(text)
+            if len(keys):
                 digests.append(digest)
-                flat.append(sketches(kmers).ravel())
+                flat.append(keys.ravel())
         values = pa.array(np.concatenate(flat) if flat else np.empty(0, np.int64))
         offsets = pa.array(np.arange(len(digests) + 1, dtype=np.int32) * width)
         yield pa.RecordBatch.from_arrays(
@@ -166,8 +196,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = zip(bpe.texts(batch.column(2)), bpe.texts(batch.column(3)))
         for node, (left, right) in zip(u, texts):
             if node != last:  # neighbours in a batch often share their left side
-                last, a = node, labelled_kmers(left)
-            similar.append(aligned_similarity(a, labelled_kmers(right)))
+                last, a = node, distinct_kmers(left)
+            similar.append(aligned_similarity(a, distinct_kmers(right)))
         keep = [i for i, s in enumerate(similar) if s]
         yield pa.RecordBatch.from_arrays(
             [
@@ -179,13 +209,14 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def candidates(sketched: DataFrame) -> DataFrame:
-    """Pairs ``u`` < ``v`` of ``sketched`` (``node``, ``keys``) that share a bucket.
+def candidates(sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``u`` < ``v`` of ``sketched`` (``node``, ``keys``) that share a bucket, and
+    the members (``node``, ``bucket``, ``n``) of buckets that stay large.
 
     Buckets of ``SMALL`` at most give all their pairs. A larger one links its members to
-    its smallest, and is cut by the next depth of the same sketch; at the last depth
-    its members share eight k-mers in order, and the star alone is left. No bucket is
-    gathered in one task before its size is known to be small.
+    its smallest, and is cut by the next depth of the same sketch. What is large at the
+    last depth shares eight k-mers in order: a group of copies, see ``search``. No
+    bucket is gathered in one task before its size is known to be small.
     """
     deep = len(DEPTHS)
     table = F.posexplode(
@@ -211,7 +242,7 @@ def candidates(sketched: DataFrame) -> DataFrame:
             v.where("u < v").select("u", "v", F.lit(depth == 0).alias("counted")),
             star.select("u", "v", F.lit(False).alias("counted")),
         ]
-        members = settle(large.select("node", "t", "k"))
+        members = settle(large.select("node", "t", "k", "bucket", "n"))
         if depth == 0:
             whole = members.select("node").distinct().select(F.col("node").alias("u"))
     pairs = found[0]
@@ -222,9 +253,25 @@ def candidates(sketched: DataFrame) -> DataFrame:
     )
     # A document with a large bucket has sketches that the count does not see.
     seen = counts.join(whole.withColumn("partial", F.lit(True)), "u", "left")
-    return seen.where(
+    pairs = seen.where(
         f"shared >= {MIN_SHARED} or not counted or partial is not null"
     ).select("u", "v")
+    return pairs, members.select("node", "bucket", "n")
+
+
+def across(deep: DataFrame, groups: DataFrame, turn: int) -> DataFrame:
+    """Pairs of a member of a large bucket and one of its anchors of this ``turn`` that
+    are in different ``groups`` so far: as many as there are members outside the
+    largest group, times the anchors."""
+    labelled = deep.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    one_in = F.ceil(F.col("n") / ANCHORS)
+    drawn = F.pmod(F.xxhash64("node", "bucket", F.lit(turn)), one_in) == 0
+    anchors = labelled.where(drawn).select(
+        "bucket", F.col("node").alias("_node"), F.col("root").alias("_root")
+    )
+    apart = (labelled["bucket"] == anchors["bucket"]) & (F.col("root") != F.col("_root"))
+    met = labelled.join(anchors, apart)
+    return met.select(F.least("node", "_node").alias("u"), F.greatest("node", "_node").alias("v")).distinct()
 
 
 def with_digest(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -233,11 +280,37 @@ def with_digest(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("_node", F.unhex(F.md5(content)))
 
 
-def links(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Links ``u``, ``v``, ``similarity`` between digests of different texts.
+def texts_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One text of each of ``nodes`` (``node``), from ``rows`` (``_node``, ``_text``)."""
+    needed = nodes.select(
+        F.col("node").alias("_node"), F.explode(F.sequence(F.lit(0), F.lit(LOTS - 1))).alias("_lot")
+    )
+    # Copies are dealt by where they were read, and each lot gives one text on.
+    dealt = rows.withColumn("_lot", F.pmod(F.spark_partition_id(), F.lit(LOTS)))
+    some = dealt.join(needed, ["_node", "_lot"], "left_semi")
+    one = some.groupBy("_node", "_lot").agg(F.min("_text").alias("_text"))
+    return one.groupBy("_node").agg(F.min("_text").alias("_text"))
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links ``u``, ``v``, ``similarity``: the pairs whose alignment is good enough."""
+    left = texts.select(F.col("_node").alias("u"), F.col("_text").alias("_left"))
+    right = texts.select(F.col("_node").alias("v"), F.col("_text").alias("_right"))
+    both = pairs.join(right, "v").join(left, "u").select("u", "v", "_left", "_right")
+    return both.mapInArrow(_verify, "u binary, v binary, similarity double")
+
+
+def search(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``node`` and ``root``, joined by links, for digests of texts that have any.
 
     Sketches are made where the texts are read. Texts move once, and only those of
     candidates go on to the verification, one of each digest.
+
+    In a bucket that stays large every member meets random anchors of groups other than
+    its own, up to ``MAX_ROUNDS`` times, or until a round adds no link: far fewer than
+    all its pairs, as members of one group need not meet. A member that is similar to a
+    tenth of such a bucket is missed by 32 anchors with probability 0.03, and it mostly
+    is in several of the 16 tables.
     """
     rows = with_digest(docs.select(F.col(text).alias("_text")), "_text")
     sketched = settle(
@@ -246,16 +319,24 @@ def links(docs: DataFrame, text: str = "text") -> DataFrame:
         .groupBy("node")
         .agg(F.min("keys").alias("keys"))
     )
-    pairs = settle(candidates(sketched))
-    nodes = pairs.select("u").unionByName(pairs.select(F.col("v").alias("u"))).distinct()
-    needed = nodes.select(F.col("u").alias("_node"))
-    wanted = settle(
-        rows.join(needed, "_node", "left_semi").groupBy("_node").agg(F.min("_text").alias("_text"))
+    pairs, deep = candidates(sketched)
+    pairs = settle(pairs)
+    nodes = pairs.select(F.col("u").alias("node")).unionByName(
+        pairs.select(F.col("v").alias("node"))
     )
-    left = wanted.select(F.col("_node").alias("u"), F.col("_text").alias("_left"))
-    right = wanted.select(F.col("_node").alias("v"), F.col("_text").alias("_right"))
-    both = pairs.join(right, "v").join(left, "u").select("u", "v", "_left", "_right")
-    return both.mapInArrow(_verify, "u binary, v binary, similarity double")
+    texts = settle(texts_of(rows, nodes.unionByName(deep.select("node")).distinct()))
+    found = settle(verified(pairs, texts).select("u", "v"))
+    groups = components(found)
+    quiet = 0 if deep.limit(1).count() else QUIET
+    for turn in range(MAX_ROUNDS):
+        if quiet == QUIET:
+            break
+        more = settle(verified(across(deep, groups, turn), texts).select("u", "v"))
+        quiet = quiet + 1 if more.limit(1).count() == 0 else 0
+        if not quiet:
+            found = found.unionByName(more)
+            groups = components(found)
+    return groups
 
 
 def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -267,8 +348,7 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
     words are similar to equal texts only. Repeated rows stay and count. An empty table
     gives an empty table. Other columns are ignored whatever their names.
     """
-    edges = links(docs, text)
-    groups = components(edges)
+    groups = search(docs, text)
     rows = with_digest(docs.select(F.col(key).alias("key"), F.col(text).alias("_text")), "_text")
     nodes = rows.groupBy("_node").agg(F.min("key").alias("_key"), F.count("*").alias("_n"))
     grouped = nodes.join(groups.withColumnRenamed("node", "_node"), "_node", "left").withColumn(
@@ -292,7 +372,7 @@ def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "t
     names = docs.columns
     rows = docs.toDF(*[f"c{i}" for i in range(len(names))])  # no name can clash
     key, text = (f"c{names.index(c)}" for c in (key, text))
-    groups = components(links(rows, text)).withColumnRenamed("node", "_node")
+    groups = search(rows, text).withColumnRenamed("node", "_node")
     rows = with_digest(rows, text)
     order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "_node")
     nodes = rows.select(key, "_node").groupBy("_node").agg(F.min(order).alias("_first"))

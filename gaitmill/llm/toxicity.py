@@ -34,7 +34,7 @@ CALIBRATION_FIFTHS = 1
 LEXICON, SUPPORT, PRECISION = 400, 6, 0.75
 PREFIXES = (4, 5, 6)
 NEAR = 3
-STORE = 300_000
+STORE = 200_000
 
 # Second-person words of English, German, French and Spanish.
 YOU = frozenset(

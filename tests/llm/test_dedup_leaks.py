@@ -56,7 +56,7 @@ def corpus():
 
 
 def brute_classes(rows):
-    kmers = {i: omh_dedup.labelled_kmers(t or "") for i, t in rows}
+    kmers = {i: omh_dedup.distinct_kmers(t or "") for i, t in rows}
     parent = {i: i for i, _ in rows}
 
     def find(x):
@@ -105,6 +105,13 @@ def test_null_keys_repeated_rows_and_no_rows(spark):
     assert omh_dedup.near_duplicate_classes(docs_of(spark, [(1, "x")]).limit(0)).count() == 0
 
 
+def test_a_repeated_line_does_not_make_texts_alike(spark):
+    draw = random.Random(1)
+    line = "this very line is said over and over again\n"
+    rows = [(i, line * 60 + " ".join(f"w{draw.randrange(10**6)}" for _ in range(40))) for i in range(4)]
+    assert [c for _, c, _ in classes(spark, rows)] == [0, 1, 2, 3]
+
+
 def longest_common(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
@@ -119,7 +126,7 @@ def test_banded_alignment_is_the_full_one_above_the_threshold():
     for _ in range(300):
         base = [str(draw.randrange(60)) for _ in range(draw.randint(5, 60))]
         other = edited(draw, base, draw.randint(0, 4))
-        a, b = (omh_dedup.labelled_kmers(" ".join(x)) for x in (base, other))
+        a, b = (omh_dedup.distinct_kmers(" ".join(x)) for x in (base, other))
         m = longest_common(a.tolist(), b.tolist())
         full = m / max(1, len(a) + len(b) - m)
         got = omh_dedup.aligned_similarity(a, b)
