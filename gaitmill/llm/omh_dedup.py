@@ -32,9 +32,6 @@ SMALL = 24
 #: similarity of 0.8 a sketch of two is shared with probability 0.63, so 16 tables give
 #: fewer than 2 in about four of 1,000,000 cases.
 MIN_SHARED = 2
-#: Members of a bucket that stays large, on average, that all others of it meet in a
-#: round; how many rounds in a row must find nothing for the search to end, and most.
-ANCHORS, QUIET, MAX_ROUNDS = 16, 1, 2
 #: Lots that the copies of a text are dealt into where one of them is wanted.
 LOTS = 32
 STORE = 250_000
@@ -209,14 +206,32 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _kmers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = bpe.texts(batch.column(2))
+        for node, root, text in zip(batch.column(0), batch.column(1), texts):
+            kmers = distinct_kmers(text)
+            n = len(kmers)
+            for lo in range(0, n, 65_536):
+                part = pa.array(kmers[lo : lo + 65_536].view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.repeat(node, len(part)),
+                        pa.repeat(root, len(part)),
+                        pa.repeat(pa.scalar(n, pa.int32()), len(part)),
+                        part,
+                    ],
+                    ["node", "root", "n", "kmer"],
+                )
+
+
 def candidates(sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs ``u`` < ``v`` of ``sketched`` (``node``, ``keys``) that share a bucket, and
-    the members (``node``, ``bucket``, ``n``) of buckets that stay large.
+    the documents (``node``) with a large bucket, see ``across``.
 
     Buckets of ``SMALL`` at most give all their pairs. A larger one links its members to
-    its smallest, and is cut by the next depth of the same sketch. What is large at the
-    last depth shares eight k-mers in order: a group of copies, see ``search``. No
-    bucket is gathered in one task before its size is known to be small.
+    its smallest, and is cut by the next depth of the same sketch. No bucket is gathered
+    in one task before its size is known to be small.
     """
     deep = len(DEPTHS)
     table = F.posexplode(
@@ -256,22 +271,58 @@ def candidates(sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = seen.where(
         f"shared >= {MIN_SHARED} or not counted or partial is not null"
     ).select("u", "v")
-    return pairs, members.select("node", "bucket", "n")
-
-
-def across(deep: DataFrame, groups: DataFrame, turn: int) -> DataFrame:
-    """Pairs of a member of a large bucket and one of its anchors of this ``turn`` that
-    are in different ``groups`` so far: as many as there are members outside the
-    largest group, times the anchors."""
-    labelled = deep.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    one_in = F.ceil(F.col("n") / ANCHORS)
-    drawn = F.pmod(F.xxhash64("node", "bucket", F.lit(turn)), one_in) == 0
-    anchors = labelled.where(drawn).select(
-        "bucket", F.col("node").alias("_node"), F.col("root").alias("_root")
+    return pairs, whole.select(F.col("u").alias("node"))
+
+
+def prefixes(texts: DataFrame, groups: DataFrame) -> DataFrame:
+    """The first k-mers (``node``, ``n``, ``rest``, ``kmer``) of ``texts`` (``_node``,
+    ``_text``): similar texts in different ``groups`` share one of them.
+
+    k-mers have one order: first those that only one group has, then by how many texts
+    have them. Of two similar texts of n k-mers and more, at most a fifth of either is
+    not in the other, so their first common k-mer is in that first part of both. What
+    only one group has takes its place there and meets nothing, so copies that are
+    linked already cost no pairs, and lines that are in very many texts come last.
+    """
+    labelled = texts.join(groups.withColumnRenamed("node", "_node"), "_node", "left")
+    kmers = labelled.select("_node", F.coalesce("root", "_node").alias("root"), "_text").mapInArrow(
+        _kmers, "node binary, root binary, n int, kmer long"
+    )
+    shared = kmers.groupBy("kmer").agg(
+        F.count("*").alias("df"), F.min("root").alias("_least"), F.max("root").alias("_most")
+    )
+    shared = settle(shared.where("_least != _most").select("kmer", "df"))
+    listed = (
+        kmers.join(shared, "kmer")
+        .groupBy("node", "n")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "kmer"))).alias("k"))
     )
-    apart = (labelled["bucket"] == anchors["bucket"]) & (F.col("root") != F.col("_root"))
-    met = labelled.join(anchors, apart)
-    return met.select(F.least("node", "_node").alias("u"), F.greatest("node", "_node").alias("v")).distinct()
+    longest = f"n - cast(ceil(n * {SIMILARITY} - 1e-6) as int) + 1"
+    first = F.expr(f"slice(k, 1, greatest(0, {longest} - (n - size(k))))")
+    placed = listed.select("node", "n", F.size("k").alias("common"), F.posexplode(first))
+    return placed.select(
+        "node", "n", F.expr("common - pos").alias("rest"), F.col("col.kmer").alias("kmer")
+    )
+
+
+def across(first: DataFrame, groups: DataFrame, *, every: bool) -> DataFrame:
+    """Pairs that share one of their ``first`` k-mers (see ``prefixes``) and are in
+    different ``groups``: ``every`` such pair that has enough k-mers left to be similar,
+    or only those with one member that is drawn for the k-mer."""
+    labelled = first.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sides = [
+        labelled.select("kmer", *[F.col(c).alias(side + c) for c in ("node", "root", "n", "rest")])
+        for side in "uv"
+    ]
+    if not every:
+        drawn = F.min_by(F.struct("*"), F.xxhash64("vnode", "kmer")).alias("d")
+        sides[1] = sides[1].groupBy("kmer").agg(drawn).select("d.*")
+    # A pair is similar only if it has enough common k-mers from its first one on.
+    enough = f"least(urest, vrest) >= (un + vn) * {SIMILARITY / (1 + SIMILARITY)} - 1e-6"
+    order = "unode < vnode" if every else "true"
+    on = (sides[0]["kmer"] == sides[1]["kmer"]) & F.expr(f"{order} and uroot != vroot and {enough}")
+    met = sides[0].join(sides[1], on)
+    return met.select(F.least("unode", "vnode").alias("u"), F.greatest("unode", "vnode").alias("v")).distinct()
 
 
 def with_digest(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -306,11 +357,9 @@ def search(docs: DataFrame, text: str = "text") -> DataFrame:
     Sketches are made where the texts are read. Texts move once, and only those of
     candidates go on to the verification, one of each digest.
 
-    In a bucket that stays large every member meets random anchors of groups other than
-    its own, up to ``MAX_ROUNDS`` times, or until a round adds no link: far fewer than
-    all its pairs, as members of one group need not meet. A member that is similar to a
-    tenth of such a bucket is missed by 32 anchors with probability 0.03, and it mostly
-    is in several of the 16 tables.
+    Documents with a large bucket are then joined exactly where they are not in one
+    group yet. First they meet one document for each k-mer, which leaves fewer groups.
+    All other documents have small buckets only, which give all their pairs.
     """
     rows = with_digest(docs.select(F.col(text).alias("_text")), "_text")
     sketched = settle(
@@ -319,23 +368,23 @@ def search(docs: DataFrame, text: str = "text") -> DataFrame:
         .groupBy("node")
         .agg(F.min("keys").alias("keys"))
     )
-    pairs, deep = candidates(sketched)
+    pairs, crowd = candidates(sketched)
+    crowd = settle(crowd)
     pairs = settle(pairs)
     nodes = pairs.select(F.col("u").alias("node")).unionByName(
         pairs.select(F.col("v").alias("node"))
     )
-    texts = settle(texts_of(rows, nodes.unionByName(deep.select("node")).distinct()))
+    texts = settle(texts_of(rows, nodes.unionByName(crowd).distinct()))
     found = settle(verified(pairs, texts).select("u", "v"))
     groups = components(found)
-    quiet = 0 if deep.limit(1).count() else QUIET
-    for turn in range(MAX_ROUNDS):
-        if quiet == QUIET:
-            break
-        more = settle(verified(across(deep, groups, turn), texts).select("u", "v"))
-        quiet = quiet + 1 if more.limit(1).count() == 0 else 0
-        if not quiet:
-            found = found.unionByName(more)
-            groups = components(found)
+    if crowd.limit(1).count() == 0:
+        return groups
+    crowded = texts.join(crowd.withColumnRenamed("node", "_node"), "_node", "left_semi")
+    first = settle(prefixes(crowded, groups))
+    for every in (False, True):
+        more = settle(verified(settle(across(first, groups, every=every)), texts).select("u", "v"))
+        found = found.unionByName(more)
+        groups = components(found)
     return groups
 
 

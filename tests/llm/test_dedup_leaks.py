@@ -87,6 +87,19 @@ def test_large_buckets_lose_no_class(spark, corpus, monkeypatch):
     assert classes(spark, corpus) == brute_classes(corpus)
 
 
+def test_near_copies_inside_a_large_family(spark):
+    """Pairs of similarity 0.81 in a family of 0.78: none is lost, nothing else is linked."""
+    draw = random.Random(12)
+    word = lambda: f"w{draw.randrange(10**9)}"
+    base, rows = [word() for _ in range(90)], []
+    for i in range(1500):
+        own = [word() for _ in range(12)]
+        rows.append((2 * i, " ".join(base + own)))
+        if i % 15 == 0:
+            rows.append((2 * i + 1, " ".join(base + own[:2] + [word() for _ in range(10)])))
+    assert classes(spark, rows) == [(i, i - i % 2, 1 + (i % 30 < 2)) for i, _ in rows]
+
+
 def test_one_of_each_class_stays(spark, corpus):
     left = omh_dedup.without_near_duplicates(docs_of(spark, corpus))
     assert left.columns == [c.split()[0] for c in SCHEMA.split(", ")]
