@@ -33,9 +33,12 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0, no rights reserved under this license."),
     ("proprietary", "Copyright. All rights reserved. No license is granted."),
+    ("proprietary", "All rights reserved."),
 )
 #: Every template has one of these, so a line without any of them is no header.
 ANCHORS = ("licen", "public domain", "rights reserved")
+#: Share of files below which a word does not get any rarer.
+RARE = 0.001
 LICENSE_FILE = r"(?i)(^|/)(licen[sc]e|copying|notice)[^/]*$"
 THRESHOLD = 0.6
 
@@ -58,13 +61,15 @@ def template_terms(spark: SparkSession) -> DataFrame:
 
 def vocabulary_idf(files: DataFrame, vocabulary: list[str]) -> tuple[dict[str, float], float]:
     """IDF of the templates' terms over all ``files`` (column ``text``), and that of a
-    term that no file has. The result has one number per term of the templates."""
+    term that no file has. The result has one number per term of the templates.
+
+    An IDF depends on the share of files with the term, not on the number of files."""
     words = F.array(*[F.lit(w) for w in vocabulary])
     found = files.select(F.explode(F.array_intersect(terms(F.col("text")), words)).alias("term"))
     counted = {r["term"]: r["n"] for r in found.groupBy("term").agg(F.count("*").alias("n")).collect()}
     total = files.count()
-    unseen = math.log(1 + total) + 1
-    return {w: math.log((1 + total) / (1 + counted.get(w, 0))) + 1 for w in vocabulary}, unseen
+    shares = {w: counted.get(w, 0) / max(total, 1) for w in vocabulary}
+    return {w: 1 - math.log(share + RARE) for w, share in shares.items()}, 1 - math.log(RARE)
 
 
 def own_licenses(files: DataFrame) -> DataFrame:

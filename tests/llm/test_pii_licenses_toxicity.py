@@ -166,6 +166,20 @@ def test_licenses_of_documents_against_brute_force(spark):
     assert {r["doc_id"]: e for r, e in zip(rows, expected)} == got
 
 
+def test_scores_do_not_depend_on_the_number_of_rows(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").selectExpr("doc_id as file", "'' as path", "text")
+    said = rows.where(r"text rlike '(?m)^All rights reserved\\.$'").select("file")
+    got = licenses.own_licenses(rows).join(said, "file").groupBy("license").count().collect()
+    assert [(r["license"], r["count"]) for r in got] == [("proprietary", said.count())]
+    mixed = [(i, "", t) for i, t in enumerate(["all of it", "Copyright is what we say", "Copyright. No license is granted.", *["x"] * 60])]
+    once, often = (
+        {r["file"] % 100: (r["license"], r["cosine"]) for r in licenses.own_licenses(
+            spark.createDataFrame([(100 * k + i, p, t) for k in range(n) for i, p, t in mixed], "file long, path string, text string")
+        ).collect()} for n in (1, 50)
+    )
+    assert once == often and once[2][0] == "proprietary"
+
+
 # -- toxicity ----------------------------------------------------------------
 
 
