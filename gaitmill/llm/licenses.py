@@ -1,6 +1,6 @@
 """Licences of files: TF-IDF cosine to templates, then inheritance along directories.
 
-Header lines that speak of a licence and files named like licence files are compared
+Lines that can reach the threshold and files named like licence files are compared
 with short templates as sparse TF-IDF vectors. A file without a licence of its own takes
 that of the licence file in its nearest ancestor directory.
 """
@@ -8,6 +8,7 @@ that of the licence file in its nearest ancestor directory.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,8 +36,8 @@ TEMPLATES = (
     ("proprietary", "Copyright. All rights reserved. No license is granted."),
     ("proprietary", "All rights reserved."),
 )
-#: Every template has one of these, so a line without any of them is no header.
-ANCHORS = ("licen", "public domain", "rights reserved")
+#: Terms of the templates: a line without any of them has cosine 0 to all of them.
+ANCHORS = tuple(sorted({w for _, t in TEMPLATES for w in re.split(r"[^a-z0-9.]+|\.(?![0-9])", t.lower()) if w}))
 #: Share of files below which a word does not get any rarer.
 RARE = 0.001
 LICENSE_FILE = r"(?i)(^|/)(licen[sc]e|copying|notice)[^/]*$"
@@ -72,11 +73,27 @@ def vocabulary_idf(files: DataFrame, vocabulary: list[str]) -> tuple[dict[str, f
     return {w: 1 - math.log(share + RARE) for w, share in shares.items()}, 1 - math.log(RARE)
 
 
+def telling_terms(weights: dict[int, dict[str, float]]) -> list[str]:
+    """Terms of which a text must have one to reach ``THRESHOLD`` with any template:
+    the heaviest of each template, as many as leave the rest too light. ``weights`` are
+    unit vectors, so a text with only the rest has at most its length as cosine."""
+    telling = set()
+    for terms_of in weights.values():
+        left = 1.0
+        for term, weight in sorted(terms_of.items(), key=lambda x: (-x[1], x[0])):
+            if left < (THRESHOLD - 1e-6) ** 2:
+                break
+            telling.add(term)
+            left -= weight**2
+    return sorted(telling)
+
+
 def own_licenses(files: DataFrame) -> DataFrame:
     """``file``, ``license``, ``cosine``: the best template of each file of ``files``
     (``file``, ``path``, ``text``) that reaches ``THRESHOLD``.
 
-    Header lines are lines with an anchor; a licence file is one document besides. Terms
+    Every line is a document, and a licence file is one besides; those without any of
+    ``telling_terms`` cannot reach ``THRESHOLD`` and are left out. Terms
     outside the templates count in the length of a vector as a term no file has. Ties go
     to the earlier template.
     """
@@ -87,29 +104,28 @@ def own_licenses(files: DataFrame) -> DataFrame:
     norms: Counter[int] = Counter()
     for r in listed:
         norms[r["template"]] += (r["tf"] * idf[r["term"]]) ** 2
-    weights = spark.createDataFrame(
-        [
-            (r["term"], r["template"], r["license"], r["tf"] * idf[r["term"]] / norms[r["template"]] ** 0.5)
-            for r in listed
-        ],
-        "term string, template int, license string, weight double",
-    )
+    scaled = [
+        (r["term"], r["template"], r["license"], r["tf"] * idf[r["term"]] / norms[r["template"]] ** 0.5)
+        for r in listed
+    ]
+    weights = spark.createDataFrame(scaled, "term string, template int, license string, weight double")
     idfs = spark.createDataFrame(sorted(idf.items()), "term string, idf double")
 
-    def anchored(text: Column) -> Column:
-        low = F.lower(text)
-        some = low.contains(ANCHORS[0])
-        for a in ANCHORS[1:]:
-            some = some | low.contains(a)
-        return some
+    of_template: dict[int, dict[str, float]] = {}
+    for term, template, _, weight in scaled:
+        of_template.setdefault(template, {})[term] = weight
+    telling = F.array(*[F.lit(w) for w in telling_terms(of_template)])
+
+    def speaks(text: str) -> Column:
+        return F.arrays_overlap(terms(F.col(text)), telling)
 
-    speaking = files.where(anchored(F.col("text")))
+    speaking = files.where(speaks("text"))
     lines = speaking.select("file", F.posexplode(F.split("text", r"\R")).alias("line", "said"))
     whole = speaking.where(F.col("path").rlike(LICENSE_FILE)).select(
         "file", F.lit(-1).alias("line"), F.col("text").alias("said")
     )
     vectors = (
-        lines.where(anchored(F.col("said")))
+        lines.where(speaks("said"))
         .unionByName(whole)
         .select("file", "line", F.explode(terms(F.col("said"))).alias("term"))
         .groupBy("file", "line", "term")

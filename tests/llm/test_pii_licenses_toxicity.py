@@ -180,6 +180,46 @@ def test_scores_do_not_depend_on_the_number_of_rows(spark):
     assert once == often and once[2][0] == "proprietary"
 
 
+PERMISSION = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
+
+
+def test_headers_without_the_word_licence(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id as file", "'' as path", "text").collect()
+    more = [(-1, "", f"x\n{PERMISSION}\ny"), (-2, "", "# Distributed under CC BY-SA 4.0"), (-3, "a/LICENSE", PERMISSION.replace(" ", "\n"))]
+    listed = [(r["file"], r["path"], r["text"] or "") for r in rows] + more
+    got = {r["file"]: r["license"] for r in licenses.own_licenses(spark.createDataFrame(listed, "file long, path string, text string")).collect()}
+    assert (got[-1], got[-2], got[-3]) == ("MIT", "CC-BY-SA-4.0", "MIT")
+
+
+def test_every_line_is_scored(spark):
+    """Random lines of template words and others, against scores of all lines."""
+    draw = random.Random(6)
+    words = [*licenses.ANCHORS, "haus", "tree", "blue", "runs", "1.5"]
+    said = [t for _, t in licenses.TEMPLATES]
+    texts = []
+    for _ in range(600):
+        line = draw.choice(said).split()
+        for _ in range(draw.randrange(8)):
+            line[draw.randrange(len(line))] = draw.choice(words)
+        texts.append(" ".join(line))
+    texts += [" ".join(draw.choice(words) for _ in range(9)) for _ in range(400)]
+    split = lambda t: [w for w in re.split(r"[^a-z0-9.]+|\.(?![0-9])", t.lower()) if w]
+    seen = Counter(w for t in texts for w in set(split(t)) & set(licenses.ANCHORS))
+    idf = lambda w: 1 - math.log(seen[w] / len(texts) + licenses.RARE)
+
+    def cosine(a, b):
+        norm = lambda v: math.sqrt(sum((n * idf(w)) ** 2 for w, n in v.items()))
+        return sum(n * b[w] * idf(w) ** 2 for w, n in a.items()) / (norm(a) * norm(b))
+
+    expected = {}
+    for i, t in enumerate(texts):
+        best = max((round(cosine(Counter(split(t)), Counter(split(s))), 12), -k) for k, s in enumerate(said))
+        if best[0] >= licenses.THRESHOLD:
+            expected[i] = licenses.TEMPLATES[-best[1]][0]
+    df = spark.createDataFrame([(i, "", t) for i, t in enumerate(texts)], "file long, path string, text string")
+    assert {r["file"]: r["license"] for r in licenses.own_licenses(df).collect()} == expected
+
+
 # -- toxicity ----------------------------------------------------------------
 
 
