@@ -1,10 +1,10 @@
 """Near-duplicate classes with Order MinHash.
 
-A document is the sequence of its five-word k-mers, each labelled with its occurrence
-number. Under each of ``TABLES`` hash orders a sketch keeps the smallest labelled
-k-mers and puts them in text order, so two documents meet where they share k-mers in
-the same order. Candidates are verified by a banded alignment of the sequences of their
-distinct k-mers, so a line that is repeated often does not make texts alike.
+A document is the sequence of its five-word k-mers at their first occurrences. Under
+each of ``TABLES`` hash orders a sketch keeps the smallest k-mers and puts them in text
+order, so two documents meet where they share k-mers in the same order. Candidates are
+verified by a banded alignment of the same sequences, so a line that is repeated often
+does not make texts alike.
 """
 
 from __future__ import annotations
@@ -23,15 +23,13 @@ from gaitmill.operators.shared import settle
 
 WORDS = 5
 SIMILARITY = 0.8
+#: At a similarity of 0.8 a sketch of two is shared with probability 0.63, so 16 tables
+#: share none in about one of 8,000,000 cases.
 TABLES = 16
 #: k-mers of a sketch; a bucket that is too large at one depth is cut by the next.
 DEPTHS = (2, 4, 8)
 #: Buckets up to this size give all their pairs, larger ones a star and deeper buckets.
 SMALL = 24
-#: Sketches that two documents must share where all their buckets are small. At a
-#: similarity of 0.8 a sketch of two is shared with probability 0.63, so 16 tables give
-#: fewer than 2 in about four of 1,000,000 cases.
-MIN_SHARED = 2
 #: Lots that the copies of a text are dealt into where one of them is wanted.
 LOTS = 32
 STORE = 250_000
@@ -78,33 +76,16 @@ def distinct_kmers(text: str) -> np.ndarray:
     return kmers[np.sort(np.unique(kmers, return_index=True)[1])]
 
 
-def labelled_kmers(text: str) -> np.ndarray:
-    """The k-mers of a text in order, each with its occurrence number hashed in."""
-    kmers = plain_kmers(text)
-    order = np.argsort(kmers, kind="stable")
-    ordered = kmers[order]
-    again = ordered[1:] == ordered[:-1]
-    if again.any():
-        at = np.arange(len(kmers))
-        start = np.where(np.r_[True, ~again], at, 0)
-        occurrence = at - np.maximum.accumulate(start)
-        kmers = kmers.copy()
-        kmers[order] += occurrence.astype(np.uint64) * _MIX
-    return kmers
-
-
 def sketches(text: str) -> np.ndarray:
     """Keys of all tables and depths, shape (``TABLES``, depths): signed 64 bits; no rows
     for a text without words.
 
-    Every second table looks at first occurrences only: a line that is repeated very
-    often would fill the sketches else, and texts that repeat it would all meet.
+    They look at first occurrences only, which are what is verified.
     """
-    labelled, distinct = labelled_kmers(text), distinct_kmers(text)
-    if not len(labelled):
+    distinct = distinct_kmers(text)
+    if not len(distinct):
         return np.empty((0, len(DEPTHS)), np.int64)
-    half = TABLES // 2
-    return np.concatenate([_keys(labelled, _SEEDS[:half]), _keys(distinct, _SEEDS[half:])])
+    return _keys(distinct, _SEEDS)
 
 
 def _keys(kmers: np.ndarray, seeds: np.ndarray) -> np.ndarray:
@@ -253,25 +234,14 @@ def candidates(sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
         v = u.select("u", F.explode(F.expr("slice(nodes, i + 2, size(nodes))")).alias("v"))
         large = keyed.join(sizes.where(f"n > {SMALL}"), "bucket")
         star = large.where("node > pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v"))
-        found += [
-            v.where("u < v").select("u", "v", F.lit(depth == 0).alias("counted")),
-            star.select("u", "v", F.lit(False).alias("counted")),
-        ]
+        found += [v.where("u < v").select("u", "v"), star]
         members = settle(large.select("node", "t", "k", "bucket", "n"))
         if depth == 0:
-            whole = members.select("node").distinct().select(F.col("node").alias("u"))
+            whole = members.select("node").distinct()
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    counts = pairs.groupBy("u", "v").agg(
-        F.count("*").alias("shared"), F.min("counted").alias("counted")
-    )
-    # A document with a large bucket has sketches that the count does not see.
-    seen = counts.join(whole.withColumn("partial", F.lit(True)), "u", "left")
-    pairs = seen.where(
-        f"shared >= {MIN_SHARED} or not counted or partial is not null"
-    ).select("u", "v")
-    return pairs, whole.select(F.col("u").alias("node"))
+    return pairs.distinct(), whole
 
 
 def prefixes(texts: DataFrame, groups: DataFrame) -> DataFrame:

@@ -100,6 +100,18 @@ def test_near_copies_inside_a_large_family(spark):
     assert classes(spark, rows) == [(i, i - i % 2, 1 + (i % 30 < 2)) for i, _ in rows]
 
 
+def test_one_shared_bucket_is_enough_and_repeats_do_not_count(spark):
+    width = omh_dedup.TABLES * len(omh_dedup.DEPTHS)
+    keys = [list(range(i * 1000, i * 1000 + width)) for i in range(2)]
+    keys[1][: len(omh_dedup.DEPTHS)] = keys[0][: len(omh_dedup.DEPTHS)]
+    sketched = spark.createDataFrame([(bytearray([i]), k) for i, k in enumerate(keys)], "node binary, keys array<long>")
+    pairs, _ = omh_dedup.candidates(sketched)
+    assert [(bytes(r["u"]), bytes(r["v"])) for r in pairs.collect()] == [(b"\0", b"\1")]
+    line = "this very line is said over again "
+    few, many = (omh_dedup.sketches(line * n) for n in (3, 50))
+    assert (few == many).all()
+
+
 def test_one_of_each_class_stays(spark, corpus):
     left = omh_dedup.without_near_duplicates(docs_of(spark, corpus))
     assert left.columns == [c.split()[0] for c in SCHEMA.split(", ")]
