@@ -155,7 +155,6 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(*dictionaries, float(curve.coefficients[0]), float(curve.intercept), share)
 
 
-
 def held_out(key: Column) -> Column:
     """Whether labels of the row must not be learned from: crc32 of the number, mod 3."""
     return F.crc32(key.cast("string").cast("binary")) % 3 == 1

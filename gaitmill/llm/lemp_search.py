@@ -173,9 +173,7 @@ class Bucket:
         reach = math.sqrt(size) * (1 + ROOM)
         if not len(self.length) or reach * self.length.max() < least:
             return none
-        at = np.searchsorted(self.ids, wanted)
-        at = at[at < len(self.ids)]
-        at = at[np.isin(self.ids[at], wanted)]
+        at = np.flatnonzero(np.isin(self.ids, wanted))
         at = at[np.argsort(-self.most[at], kind="stable")]
         # What the smaller coordinates can add at most; a row without any of the larger
         # ones cannot reach the threshold.
@@ -233,10 +231,11 @@ def search(ordered: DataFrame, items, weights, least: list[int], keep: int) -> D
     those that reach ``least``."""
     kind = ordered.schema["doc_id"].dataType.simpleString()
     key_type = ordered.limit(0).select("doc_id").toArrow().schema.field(0).type
+    size = BUCKET
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = Best(least, keep)
-        for bucket in _buckets(batches, weights.value):
+        for bucket in _buckets(batches, weights.value, size):
             for i, wanted in enumerate(items.value.terms):
                 rows, scores = bucket.search(wanted, best.least[i])
                 if len(rows):
@@ -256,12 +255,12 @@ def search(ordered: DataFrame, items, weights, least: list[int], keep: int) -> D
     )
 
 
-def _buckets(batches: Iterator[pa.RecordBatch], weights: np.ndarray) -> Iterator[Bucket]:
+def _buckets(batches: Iterator[pa.RecordBatch], weights: np.ndarray, size: int) -> Iterator[Bucket]:
     for batch in batches:
         lo, ends = 0, batch.column(2).offsets.to_numpy()
         while lo < batch.num_rows:
             within = int(np.searchsorted(ends, ends[lo] + COORDINATES, side="right")) - 1
-            hi = max(lo + 1, min(lo + BUCKET, within, batch.num_rows))
+            hi = max(lo + 1, min(lo + size, within, batch.num_rows))
             part = batch.slice(lo, hi - lo)
             ids, tfs, _, owner = _flat(
                 pa.ListArray.from_arrays(part.column(2).offsets, part.column(2).values),

@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from gaitmill.llm import (
     chat,
+    compression_quality,
     decontaminate,
+    lemp_search,
     licenses,
     omh_dedup,
     packing,
+    phrases,
     pii,
     ring_sharding,
     token_counts,
@@ -164,3 +167,70 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat_ws("/", lower, F.expr("doc_id || '.txt'")))
     )
     return licenses.scan_licenses(table(spark, sf_dir, "documents"), path=path)
+
+
+@query
+def op11_lemp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten best documents of every benchmark item."""
+    return lemp_search.ranked_search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    ).select("item_id", "rank", "doc_id", "score")
+
+
+SQL["op11_lemp_search"] = r"""WITH d AS (
+  SELECT doc_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents WHERE text IS NOT NULL),
+t AS (SELECT doc_id, len(w) AS n,
+    unnest(list_transform(w, lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS term FROM d),
+g AS (SELECT COUNT(*) AS docs, CAST(SUM(len(w)) AS BIGINT) AS words FROM d WHERE len(w) > 0),
+f AS (SELECT doc_id, n, term, COUNT(*) AS tf FROM t GROUP BY ALL),
+i AS (SELECT DISTINCT item_id, unnest(list_transform(
+    regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+    lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS term FROM benchmark),
+v AS (SELECT term, CAST(floor(1000 * ln((2 * g.docs + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS w
+  FROM f, g WHERE term IN (SELECT term FROM i) GROUP BY term, g.docs),
+s AS (SELECT item_id, doc_id, CAST(SUM(w * ((1000000000 * tf)
+      // (1000 * tf + 8 * (10 + (90 * n * g.docs) // g.words)))) AS BIGINT) AS score
+  FROM i JOIN v USING (term) JOIN f USING (term), g GROUP BY item_id, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank,
+    doc_id, score FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 10""".replace(r"\\", "\\")
+
+
+@query
+def op12_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_quality.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+SQL["op13_collocations"] = r"""WITH p AS (
+  SELECT row_number() OVER () AS id, lang, piece FROM (SELECT COALESCE(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+k AS (SELECT lang, w, unnest([1, 2, 3, 4]) AS k FROM w),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2),
+    lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM k WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, COUNT(*) AS f FROM g GROUP BY ALL HAVING COUNT(*) >= 30),
+n AS (SELECT lang, SUM(len(w)) AS n FROM w GROUP BY lang),
+c AS (SELECT lang, phrase, f AS a, k, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+u AS (SELECT c.*, unnest(range(1, k)) AS cut FROM c),
+b AS (SELECT u.lang, u.phrase, u.a, x.f AS l, y.f AS r, cut,
+    CAST((2000000::HUGEINT * a) // (x.f::HUGEINT + y.f) AS BIGINT) AS score FROM u
+  JOIN f x ON x.lang = u.lang AND x.phrase = array_to_string(u.w[1:cut], ' ')
+  JOIN f y ON y.lang = u.lang AND y.phrase = array_to_string(u.w[cut + 1:u.k], ' ')),
+o AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+m AS (SELECT lang, w, k, a, s, unnest(range(1, k - s + 2)) AS i FROM (
+  SELECT *, unnest(range(2, k)) AS s FROM c WHERE k >= 3)),
+h AS (SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, MAX(a) AS cover FROM m GROUP BY ALL),
+e AS (SELECT o.* FROM o LEFT JOIN h USING (lang, phrase)
+  WHERE cover IS NULL OR 100 * cover::HUGEINT < 80 * a::HUGEINT),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM e)
+SELECT lang, rank, phrase, a, l, r.r, CAST(n AS BIGINT) AS n, score FROM r JOIN n USING (lang) WHERE rank <= 2000"""

@@ -30,7 +30,7 @@ def whole():
 
 def test_names():
     numbers = sorted(int(n.split("_")[0][2:]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
