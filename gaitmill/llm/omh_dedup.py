@@ -1,10 +1,10 @@
 """Near-duplicate classes with Order MinHash.
 
-A document is the sequence of its five-word k-mers at their first occurrences. Under
-each of ``TABLES`` hash orders a sketch keeps the smallest k-mers and puts them in text
-order, so two documents meet where they share k-mers in the same order. Candidates are
-verified by a banded alignment of the same sequences, so a line that is repeated often
-does not make texts alike.
+A document is the sequence of its five-word k-mers, each labelled with its occurrence:
+the third time a k-mer comes is another element than the first. Under each of ``TABLES``
+hash orders a sketch keeps the smallest labelled k-mers and puts them in text order, so
+two documents meet where they share k-mers in the same order. Candidates are verified by
+a banded alignment of the same sequences, so repetitions count as often as they come.
 """
 
 from __future__ import annotations
@@ -26,9 +26,10 @@ SIMILARITY = 0.8
 #: At a similarity of 0.8 a sketch of two is shared with probability 0.63, so 16 tables
 #: share none in about one of 8,000,000 cases.
 TABLES = 16
-#: k-mers of a sketch; a bucket that is too large at one depth is cut by the next.
-DEPTHS = (2, 4, 8)
-#: Buckets up to this size give all their pairs, larger ones a star and deeper buckets.
+#: Labelled k-mers of a sketch.
+DEPTH = 2
+#: Buckets up to this size give all their pairs; members of larger ones are linked to the
+#: smallest, and joined exactly (see ``across``).
 SMALL = 24
 #: Lots that the copies of a text are dealt into where one of them is wanted.
 LOTS = 32
@@ -70,29 +71,30 @@ def plain_kmers(text: str) -> np.ndarray:
     return kmers ^ (kmers >> np.uint64(29))
 
 
-def distinct_kmers(text: str) -> np.ndarray:
-    """The k-mers of a text in the order of their first occurrence."""
+def labelled_kmers(text: str) -> np.ndarray:
+    """The k-mers of a text in order, each hashed with its occurrence, so all differ."""
     kmers = plain_kmers(text)
-    return kmers[np.sort(np.unique(kmers, return_index=True)[1])]
+    order = np.argsort(kmers, kind="stable")
+    at = np.arange(len(kmers))
+    again = np.zeros(len(kmers), bool)
+    again[1:] = kmers[order[1:]] == kmers[order[:-1]]
+    occurrence = np.empty(len(kmers), np.uint64)
+    occurrence[order] = at - np.maximum.accumulate(np.where(again, 0, at))
+    labelled = (kmers + occurrence * _MIX) * _FOLD
+    return labelled ^ (labelled >> np.uint64(31))
 
 
 def sketches(text: str) -> np.ndarray:
-    """Keys of all tables and depths, shape (``TABLES``, depths): signed 64 bits; no rows
-    for a text without words.
-
-    They look at first occurrences only, which are what is verified.
-    """
-    distinct = distinct_kmers(text)
-    if not len(distinct):
-        return np.empty((0, len(DEPTHS)), np.int64)
-    return _keys(distinct, _SEEDS)
+    """Keys of all ``TABLES``: signed 64 bits; none for a text without words."""
+    kmers = labelled_kmers(text)
+    return _keys(kmers, _SEEDS) if len(kmers) else np.empty(0, np.int64)
 
 
 def _keys(kmers: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     n = len(kmers)
-    keep = min(n, DEPTHS[-1])
+    keep = min(n, DEPTH)
     block = max(1, 262_144 // n)
-    keys = np.empty((len(seeds), len(DEPTHS)), np.uint64)
+    keys = np.empty(len(seeds), np.uint64)
     for lo in range(0, len(seeds), block):
         hashed = (kmers ^ seeds[lo : lo + block, None]) * _MIX
         hashed ^= hashed >> np.uint64(32)
@@ -101,21 +103,18 @@ def _keys(kmers: np.ndarray, seeds: np.ndarray) -> np.ndarray:
             least = np.argpartition(hashed, keep - 1, axis=1)[:, :keep]
         else:
             least = np.broadcast_to(np.arange(n), (len(hashed), n))
-        rank = np.argsort(np.take_along_axis(hashed, least, 1), axis=1)
-        least = np.take_along_axis(least, rank, 1)
-        for d, depth in enumerate(DEPTHS):
-            in_text_order = np.sort(least[:, :depth], axis=1)
-            key = np.full(len(hashed), depth, np.uint64)
-            for c in range(in_text_order.shape[1]):
-                key = (key ^ (key >> np.uint64(31))) * _FOLD + kmers[in_text_order[:, c]]
-            keys[lo : lo + block, d] = key
+        in_text_order = np.sort(least, axis=1)
+        key = np.full(len(hashed), DEPTH, np.uint64)
+        for c in range(keep):
+            key = (key ^ (key >> np.uint64(31))) * _FOLD + kmers[in_text_order[:, c]]
+        keys[lo : lo + block] = key
     return keys.view(np.int64)
 
 
 def aligned_similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     """Share of aligned k-mers, ``m / (len(a) + len(b) - m)``; 0 where below ``least``.
 
-    Distinct k-mers occur once, so the best alignment is the longest increasing run of
+    Labelled k-mers occur once, so the best alignment is the longest increasing run of
     the places that b's k-mers have in a. An alignment that reaches
     ``least`` strays from the diagonal by no more than the longer text has unaligned
     k-mers: matches outside that band are left out.
@@ -151,16 +150,15 @@ def _longest_increasing(places: np.ndarray) -> int:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    width = TABLES * len(DEPTHS)
     for batch in batches:
         digests, flat = [], []
         for digest, text in zip(batch.column(0).to_pylist(), bpe.texts(batch.column(1))):
             keys = sketches(text)
             if len(keys):
                 digests.append(digest)
-                flat.append(keys.ravel())
+                flat.append(keys)
         values = pa.array(np.concatenate(flat) if flat else np.empty(0, np.int64))
-        offsets = pa.array(np.arange(len(digests) + 1, dtype=np.int32) * width)
+        offsets = pa.array(np.arange(len(digests) + 1, dtype=np.int32) * TABLES)
         yield pa.RecordBatch.from_arrays(
             [pa.array(digests, pa.binary()), pa.ListArray.from_arrays(offsets, values)],
             ["node", "keys"],
@@ -174,8 +172,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = zip(bpe.texts(batch.column(2)), bpe.texts(batch.column(3)))
         for node, (left, right) in zip(u, texts):
             if node != last:  # neighbours in a batch often share their left side
-                last, a = node, distinct_kmers(left)
-            similar.append(aligned_similarity(a, distinct_kmers(right)))
+                last, a = node, labelled_kmers(left)
+            similar.append(aligned_similarity(a, labelled_kmers(right)))
         keep = [i for i, s in enumerate(similar) if s]
         yield pa.RecordBatch.from_arrays(
             [
@@ -191,7 +189,7 @@ def _kmers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = bpe.texts(batch.column(2))
         for node, root, text in zip(batch.column(0), batch.column(1), texts):
-            kmers = distinct_kmers(text)
+            kmers = labelled_kmers(text)
             n = len(kmers)
             for lo in range(0, n, 65_536):
                 part = pa.array(kmers[lo : lo + 65_536].view(np.int64))
@@ -210,38 +208,21 @@ def candidates(sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs ``u`` < ``v`` of ``sketched`` (``node``, ``keys``) that share a bucket, and
     the documents (``node``) with a large bucket, see ``across``.
 
-    Buckets of ``SMALL`` at most give all their pairs. A larger one links its members to
-    its smallest, and is cut by the next depth of the same sketch. No bucket is gathered
-    in one task before its size is known to be small.
+    Buckets of ``SMALL`` at most give all their pairs, larger ones link their members to
+    the smallest. No bucket is gathered in one task before its size is known to be small.
     """
-    deep = len(DEPTHS)
-    table = F.posexplode(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(TABLES - 1)),
-            lambda t: F.slice("keys", t * deep + 1, deep),
-        )
-    )
-    members = sketched.select("node", table.alias("t", "k"))
-    found, whole = [], None
-    for depth in range(deep):
-        key = F.struct("t", F.element_at("k", depth + 1).alias("k")).alias("bucket")
-        keyed = members.select("node", "t", "k", F.xxhash64(F.lit(depth), key).alias("bucket"))
-        sizes = keyed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("pivot"))
-        sizes = settle(sizes.where("n > 1"))
-        small = keyed.join(sizes.where(f"n <= {SMALL}"), "bucket")
-        lists = small.groupBy("bucket").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
-        u = lists.select("nodes", F.posexplode("nodes").alias("i", "u"))
-        v = u.select("u", F.explode(F.expr("slice(nodes, i + 2, size(nodes))")).alias("v"))
-        large = keyed.join(sizes.where(f"n > {SMALL}"), "bucket")
-        star = large.where("node > pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v"))
-        found += [v.where("u < v").select("u", "v"), star]
-        members = settle(large.select("node", "t", "k", "bucket", "n"))
-        if depth == 0:
-            whole = members.select("node").distinct()
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
-    return pairs.distinct(), whole
+    members = sketched.select("node", F.posexplode("keys").alias("t", "key"))
+    keyed = members.select("node", F.xxhash64("t", "key").alias("bucket"))
+    sizes = keyed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("pivot"))
+    sizes = settle(sizes.where("n > 1"))
+    small = keyed.join(sizes.where(f"n <= {SMALL}"), "bucket")
+    lists = small.groupBy("bucket").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
+    u = lists.select("nodes", F.posexplode("nodes").alias("i", "u"))
+    v = u.select("u", F.explode(F.expr("slice(nodes, i + 2, size(nodes))")).alias("v"))
+    large = settle(keyed.join(sizes.where(f"n > {SMALL}"), "bucket").select("node", "pivot"))
+    star = large.where("node > pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v"))
+    pairs = v.where("u < v").select("u", "v").unionByName(star)
+    return pairs.distinct(), large.select("node").distinct()
 
 
 def prefixes(texts: DataFrame, groups: DataFrame) -> DataFrame:
@@ -362,7 +343,7 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
     """One row per document: ``key``, ``class_id`` and ``class_size``.
 
     ``class_id`` is the smallest key among documents joined by a chain of links (equal
-    texts, or aligned five-word k-mers with a similarity of 0.8 or more); null only
+    texts, or aligned labelled five-word k-mers with a similarity of 0.8 or more); null only
     where no document of the class has a key. Null texts count as empty; texts without
     words are similar to equal texts only. Repeated rows stay and count. An empty table
     gives an empty table. Other columns are ignored whatever their names.

@@ -56,7 +56,7 @@ def corpus():
 
 
 def brute_classes(rows):
-    kmers = {i: omh_dedup.distinct_kmers(t or "") for i, t in rows}
+    kmers = {i: omh_dedup.labelled_kmers(t or "") for i, t in rows}
     parent = {i: i for i, _ in rows}
 
     def find(x):
@@ -100,16 +100,22 @@ def test_near_copies_inside_a_large_family(spark):
     assert classes(spark, rows) == [(i, i - i % 2, 1 + (i % 30 < 2)) for i, _ in rows]
 
 
-def test_one_shared_bucket_is_enough_and_repeats_do_not_count(spark):
-    width = omh_dedup.TABLES * len(omh_dedup.DEPTHS)
-    keys = [list(range(i * 1000, i * 1000 + width)) for i in range(2)]
-    keys[1][: len(omh_dedup.DEPTHS)] = keys[0][: len(omh_dedup.DEPTHS)]
+def test_one_shared_bucket_is_enough(spark):
+    keys = [list(range(i * 1000, i * 1000 + omh_dedup.TABLES)) for i in range(2)]
+    keys[1][0] = keys[0][0]
     sketched = spark.createDataFrame([(bytearray([i]), k) for i, k in enumerate(keys)], "node binary, keys array<long>")
     pairs, _ = omh_dedup.candidates(sketched)
     assert [(bytes(r["u"]), bytes(r["v"])) for r in pairs.collect()] == [(b"\0", b"\1")]
+
+
+def test_occurrences_are_labelled(spark):
+    """All labelled k-mers of a text differ, and a line three times is not fifty times."""
     line = "this very line is said over again "
-    few, many = (omh_dedup.sketches(line * n) for n in (3, 50))
-    assert (few == many).all()
+    few, many = (omh_dedup.labelled_kmers(line * n) for n in (3, 50))
+    assert len(set(many.tolist())) == len(many) == 50 * 7 - 4
+    assert (many[: len(few)] == few).all()
+    rows = [(0, line * 3), (1, line * 50), (2, line * 49 + "and an end"), (3, line * 3000)]
+    assert [c for _, c, _ in classes(spark, rows)] == [0, 1, 1, 3]
 
 
 def test_one_of_each_class_stays(spark, corpus):
@@ -130,11 +136,13 @@ def test_null_keys_repeated_rows_and_no_rows(spark):
     assert omh_dedup.near_duplicate_classes(docs_of(spark, [(1, "x")]).limit(0)).count() == 0
 
 
-def test_a_repeated_line_does_not_make_texts_alike(spark):
+def test_a_repeated_line_counts_as_often_as_it_comes(spark):
+    """60 lines in common and 40 own words: alike. Ten lines and 60 own words: not."""
     draw = random.Random(1)
     line = "this very line is said over and over again\n"
-    rows = [(i, line * 60 + " ".join(f"w{draw.randrange(10**6)}" for _ in range(40))) for i in range(4)]
-    assert [c for _, c, _ in classes(spark, rows)] == [0, 1, 2, 3]
+    own = lambda n: " ".join(f"w{draw.randrange(10**6)}" for _ in range(n))
+    rows = [(i, line * 60 + own(40)) for i in range(4)] + [(i, line * 10 + own(60)) for i in range(4, 8)]
+    assert [c for _, c, _ in classes(spark, rows)] == [0, 0, 0, 0, 4, 5, 6, 7]
 
 
 def longest_common(a, b):
@@ -151,7 +159,7 @@ def test_banded_alignment_is_the_full_one_above_the_threshold():
     for _ in range(300):
         base = [str(draw.randrange(60)) for _ in range(draw.randint(5, 60))]
         other = edited(draw, base, draw.randint(0, 4))
-        a, b = (omh_dedup.distinct_kmers(" ".join(x)) for x in (base, other))
+        a, b = (omh_dedup.labelled_kmers(" ".join(x)) for x in (base, other))
         m = longest_common(a.tolist(), b.tolist())
         full = m / max(1, len(a) + len(b) - m)
         got = omh_dedup.aligned_similarity(a, b)
