@@ -31,8 +31,6 @@ DEPTH = 2
 #: Buckets up to this size give all their pairs; members of larger ones are linked to the
 #: smallest, and joined exactly (see ``across``).
 SMALL = 24
-#: Lots that the copies of a text are dealt into where one of them is wanted.
-LOTS = 32
 STORE = 250_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -283,15 +281,13 @@ def with_digest(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def texts_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """One text of each of ``nodes`` (``node``), from ``rows`` (``_node``, ``_text``)."""
-    needed = nodes.select(
-        F.col("node").alias("_node"), F.explode(F.sequence(F.lit(0), F.lit(LOTS - 1))).alias("_lot")
-    )
-    # Copies are dealt by where they were read, and each lot gives one text on.
-    dealt = rows.withColumn("_lot", F.pmod(F.spark_partition_id(), F.lit(LOTS)))
-    some = dealt.join(needed, ["_node", "_lot"], "left_semi")
-    one = some.groupBy("_node", "_lot").agg(F.min("_text").alias("_text"))
-    return one.groupBy("_node").agg(F.min("_text").alias("_text"))
+    """One text of each of ``nodes`` (``node``), from ``rows`` (``_node``, ``_text``).
+
+    Texts move once: copies become one where they are read, before any shuffle, and the
+    join with ``nodes`` finds them dealt by digest already.
+    """
+    one = rows.groupBy("_node").agg(F.min("_text").alias("_text"))
+    return one.join(nodes.withColumnRenamed("node", "_node"), "_node", "left_semi")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -330,12 +326,13 @@ def search(docs: DataFrame, text: str = "text") -> DataFrame:
     groups = components(found)
     if crowd.limit(1).count() == 0:
         return groups
-    crowded = texts.join(crowd.withColumnRenamed("node", "_node"), "_node", "left_semi")
+    crowded = settle(texts.join(crowd.withColumnRenamed("node", "_node"), "_node", "left_semi"))
     first = settle(prefixes(crowded, groups))
     for every in (False, True):
-        more = settle(verified(settle(across(first, groups, every=every)), texts).select("u", "v"))
-        found = found.unionByName(more)
-        groups = components(found)
+        more = settle(verified(settle(across(first, groups, every=every)), crowded).select("u", "v"))
+        # The groups as stars stand for all links found so far.
+        stars = groups.select(F.col("node").alias("u"), F.col("root").alias("v"))
+        groups = components(stars.unionByName(more))
     return groups
 
 
