@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,36 +26,74 @@ FLAT_EPS = 1e-12
 SCALE_EPS = 1e-6
 
 
-def placed_meshes(
-    instances: DataFrame, meshes: DataFrame, *, skip_engine: bool = True
-) -> DataFrame:
-    """Instances with their mesh; wrong indices, engine assets and empty geometry
-    drop out of the inner join."""
+#: Vertices or faces of a mesh that meet its instances under one key, and instances that
+#: share one copy of them.
+PAGE = 1024
+SHARE = 4096
+MESH = ["terrain_hash", "mesh_idx"]
+
+
+class World(NamedTuple):
+    """Narrow rows of placed instances, and the meshes they use, one row each."""
+
+    instances: DataFrame
+    meshes: DataFrame
+
+
+def placed_meshes(instances: DataFrame, meshes: DataFrame, *, skip_engine: bool = True) -> World:
+    """Instances with the sizes of their mesh; wrong indices, engine assets and empty
+    geometry drop out of the inner join. Arrays stay with the meshes."""
     usable = meshes.where((F.size("vertices") > 0) & (F.size("indices") >= 3))
     if skip_engine:
         asset = F.coalesce("asset_path", F.lit(""))
         usable = usable.where(~asset.startswith(ENGINE_PREFIX))
-    return instances.join(usable, ["terrain_hash", "mesh_idx"])
+    uses = instances.groupBy(*MESH).agg(F.ceil(F.count(F.lit(1)) / SHARE).alias("_copies"))
+    used = usable.join(uses, MESH)
+    sizes = used.select(
+        *MESH,
+        "_copies",
+        F.size("vertices").cast("long").alias("n_vertices"),
+        F.floor(F.size("indices") / 3).alias("n_faces"),
+    )
+    return World(instances.join(sizes, MESH), used)
+
+
+def _with_rows(instances: DataFrame, rows: DataFrame, count: str, index: str) -> DataFrame:
+    """Every instance with the ``rows`` of its mesh, numbered by ``index``.
+
+    A large mesh is many pages and a mesh with many instances is copied for every
+    ``SHARE`` of them, so no key has more than ``PAGE`` rows and about ``SHARE`` instances.
+    """
+    pages = F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / PAGE))
+    copies = F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)
+    left = instances.withColumns(
+        {"_page": F.explode(pages), "_copy": F.pmod(F.xxhash64("instance_idx"), F.col("_copies"))}
+    ).drop("_copies")
+    right = rows.withColumns(
+        {"_page": F.floor(F.col(index) / PAGE), "_copy": F.explode(copies)}
+    ).drop("_copies")
+    return left.join(right, [*MESH, "_page", "_copy"])
 
 
 MAP = [f"map_{i}{n}" for i in range(3) for n in "xyzt"]
 
 
 def world_geometry(
-    placed: DataFrame,
+    world: World,
     align: Rigid | None,
     *,
     ground_cm: float = 0.0,
     data_scale: float = 1.0,
     max_rows: int = MAX_ROWS,
-) -> DataFrame:
-    """Add to each placed mesh its affine map and its ``vertex_offset``.
+) -> World:
+    """Add to each placed instance its affine map and its ``vertex_offset``.
 
     The map stretches, turns and moves, lowers to the ground, scales, changes
     axes and aligns: twelve numbers per instance (rows ``map_0 .. map_2``), so
     that the many vertices and faces only multiply and add. ``outward`` is false
     where the map mirrors a mesh. Vertices are numbered through per terrain.
     """
+    placed = world.instances
     q = rot.unit(rot.quat_xyzw(F.col("rotation_quat_xyzw")))
     stretch, loc = rot.vec(F.col("scale")), rot.vec(F.col("location"))
     turned = placed.withColumns({f"_q{n}": c for n, c in zip("wxyz", q)})
@@ -72,15 +111,9 @@ def world_geometry(
         done["t"] = rot.add(done["t"], rot.constant(align.translation))
         mapped = mapped.withColumns({f"map_{i}{n}": done[n][i] for i in range(3) for n in "xyzt"})
     volume = stretch.x * stretch.y * stretch.z
-    mapped = mapped.withColumns(
-        {
-            "outward": ~(volume > 0) if align else volume >= 0,
-            "n_vertices": F.size("vertices").cast("long"),
-        }
-    ).drop(*[f"_q{n}" for n in "wxyz"])
-    sizes = placed.select(
-        "terrain_hash", "instance_idx", F.size("vertices").cast("long").alias("n_vertices")
-    )
+    outward = ~(volume > 0) if align else volume >= 0
+    mapped = mapped.withColumn("outward", outward).drop(*[f"_q{n}" for n in "wxyz"])
+    sizes = placed.select("terrain_hash", "instance_idx", "n_vertices")
     numbered = (
         Track.of(sizes, ["terrain_hash"], ["instance_idx"], max_rows=max_rows)
         .running(sums={"_upto": F.col("n_vertices")})
@@ -88,7 +121,7 @@ def world_geometry(
     )
     offset = (F.col("_upto") - F.col("n_vertices")).alias("vertex_offset")
     offsets = numbered.select("terrain_hash", "instance_idx", offset)
-    return mapped.join(offsets, ["terrain_hash", "instance_idx"])
+    return World(mapped.join(offsets, ["terrain_hash", "instance_idx"]), world.meshes)
 
 
 def _mapped(v: Vec, *, direction: bool = False) -> Vec:
@@ -97,44 +130,54 @@ def _mapped(v: Vec, *, direction: bool = False) -> Vec:
     return out if direction else rot.add(out, Vec(*[F.col(f"map_{i}t") for i in range(3)]))
 
 
-def vertex_table(geometry: DataFrame) -> DataFrame:
+def vertex_table(world: World) -> DataFrame:
     """One row per vertex in the target frame."""
-    exploded = geometry.select(
-        "terrain_hash", "instance_idx", "vertex_offset", *MAP, F.posexplode("vertices").alias("_i", "_v")
+    exploded = world.meshes.select(*MESH, "_copies", F.posexplode("vertices").alias("_i", "_v"))
+    rows = exploded.select(
+        *MESH, "_copies", "_i", *[c.alias(f"_v{n}") for n, c in zip("xyz", rot.vec(F.col("_v")))]
     )
-    return exploded.select(
+    placed = _with_rows(world.instances, rows, "n_vertices", "_i")
+    return placed.select(
         "terrain_hash",
         "instance_idx",
         (F.col("vertex_offset") + F.col("_i")).alias("vertex_id"),
-        *[c.alias(n) for n, c in zip("xyz", _mapped(rot.vec(F.col("_v"))))],
+        *[c.alias(n) for n, c in zip("xyz", _mapped(Vec(*rot.named("_v"))))],
     )
 
 
-def triangle_table(geometry: DataFrame) -> DataFrame:
+def mesh_faces(meshes: DataFrame) -> DataFrame:
+    """One row per face of a mesh: its vertices ``_i0 .. _i2``, their places ``_v0x ..``
+    and, where every vertex has a normal, the sum of the three, ``_ux .. _uz``."""
+    same = F.coalesce(F.size("normals") == F.size("vertices"), F.lit(False))
+
+    def face(f: Column) -> Column:
+        ids = [F.get("indices", 3 * f + k).cast("int") for k in range(3)]
+        places = [rot.vec(F.get("vertices", i)) for i in ids]
+        ups = [rot.vec(F.get("normals", i)) for i in ids]
+        up = rot.add(rot.add(ups[0], ups[1]), ups[2])
+        return F.struct(
+            f.alias("face_idx"),
+            *[i.alias(f"_i{k}") for k, i in enumerate(ids)],
+            *[c.alias(f"_v{k}{n}") for k, v in enumerate(places) for n, c in zip("xyz", v)],
+            *[F.when(same, c).alias(f"_u{n}") for n, c in zip("xyz", up)],
+        )
+
+    numbers = F.sequence(F.lit(0), F.floor(F.size("indices") / 3).cast("int") - 1)
+    faces = F.explode(F.transform(numbers, face)).alias("_f")
+    return meshes.select(*MESH, "_copies", faces).select(*MESH, "_copies", "_f.*")
+
+
+def triangle_counts(world: World, by: Sequence[str] = ("terrain_hash",)) -> DataFrame:
+    return world.instances.groupBy(*by).agg(F.sum("n_faces").alias("n_triangles"))
+
+
+def triangle_table(world: World) -> DataFrame:
     """One row per face: global vertex ids ``a, b, c`` and the corner positions.
 
     A face is turned around when its geometric normal opposes the summed vertex
     normals; without normals, when the map of the instance mirrors.
     """
-    triples = F.sequence(F.lit(0), F.floor(F.size("indices") / 3).cast("int") - 1)
-    faces = geometry.withColumn("face_idx", F.explode(triples))
-    ids = [F.get("indices", 3 * F.col("face_idx") + k).cast("int") for k in range(3)]
-    faces = faces.withColumns({f"_i{k}": i for k, i in enumerate(ids)})
-    raw = [rot.vec(F.get("vertices", F.col(f"_i{k}"))) for k in range(3)]
-    ups = [rot.vec(F.get("normals", F.col(f"_i{k}"))) for k in range(3)]
-    up = rot.add(rot.add(ups[0], ups[1]), ups[2])
-    same = F.coalesce(F.size("normals") == F.size("vertices"), F.lit(False))
-    faces = faces.select(
-        "terrain_hash",
-        "instance_idx",
-        "face_idx",
-        "vertex_offset",
-        "outward",
-        *MAP,
-        *[f"_i{k}" for k in range(3)],
-        *[c.alias(f"_v{k}{n}") for k, v in enumerate(raw) for n, c in zip("xyz", v)],
-        *[F.when(same, c).alias(f"_u{n}") for n, c in zip("xyz", up)],
-    )
+    faces = _with_rows(world.instances, mesh_faces(world.meshes), "n_faces", "face_idx")
     corners = {
         f"_p{k}{n}": c
         for k in range(3)
@@ -166,12 +209,11 @@ def triangle_table(geometry: DataFrame) -> DataFrame:
 
 
 def bounds(
-    vertices: DataFrame, by: Sequence[str] = ("terrain_hash",), triangles: DataFrame | None = None
+    vertices: DataFrame, by: Sequence[str] = ("terrain_hash",), counts: DataFrame | None = None
 ) -> DataFrame:
-    """Extent and number of vertices; of ``triangles`` too where they are given."""
-    if triangles is not None:
-        faces = triangles.groupBy(*by).agg(F.count(F.lit(1)).alias("n_triangles"))
-        return same_key_join(bounds(vertices, by), faces, list(by))
+    """Extent and number of vertices; the ``counts`` of triangles too where given."""
+    if counts is not None:
+        return same_key_join(bounds(vertices, by), counts, list(by))
     return vertices.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_vertices"),
         *[f(c).alias(f"{n}_{c}") for c in "xyz" for n, f in (("min", F.min), ("max", F.max))],

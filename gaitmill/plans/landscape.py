@@ -88,15 +88,15 @@ vert AS (
          {", ".join(f"{e} AS {c}" for c, e in zip("xyz", _world))},
          {", ".join(f"{e} AS u{c}" for c, e in zip("xyz", _up))} FROM v),
 face(f, i0, i1, i2) AS (VALUES (0,0,1,2), (1,0,1,3), (2,0,2,3), (3,1,2,3)),
+mesh AS (SELECT terrain_hash, instance_idx, off, has_n, mirrored,
+  list(struct_pack(x := x, y := y, z := z, ux := ux, uy := uy, uz := uz) ORDER BY k) AS p FROM vert GROUP BY ALL),
+corners AS (SELECT *, p[i0 + 1] AS a, p[i1 + 1] AS b, p[i2 + 1] AS c FROM mesh, face),
 tri AS (
-  SELECT a.terrain_hash, a.instance_idx, f AS face_idx, a.vertex_id AS va, b.vertex_id AS vb, c.vertex_id AS vc,
-    a.has_n, a.mirrored,
+  SELECT terrain_hash, instance_idx, f AS face_idx, off + i0 AS va, off + i1 AS vb, off + i2 AS vc, has_n, mirrored,
     ((b.y-a.y)*(c.z-a.z) - (b.z-a.z)*(c.y-a.y)) * (a.ux+b.ux+c.ux)
     + ((b.z-a.z)*(c.x-a.x) - (b.x-a.x)*(c.z-a.z)) * (a.uy+b.uy+c.uy)
     + ((b.x-a.x)*(c.y-a.y) - (b.y-a.y)*(c.x-a.x)) * (a.uz+b.uz+c.uz) AS facing
-  FROM face JOIN vert a ON a.k = i0 JOIN vert b ON b.k = i1 AND b.terrain_hash = a.terrain_hash
-    AND b.instance_idx = a.instance_idx
-  JOIN vert c ON c.k = i2 AND c.terrain_hash = a.terrain_hash AND c.instance_idx = a.instance_idx),
+  FROM corners),
 turned AS (SELECT *, CASE WHEN has_n THEN facing < 0 ELSE mirrored END AS flip FROM tri)"""
 
 
@@ -128,7 +128,7 @@ def terrain_faces(spark, sf_dir):
 )
 def mesh_bounds(spark, sf_dir):
     placed = geometry(spark, sf_dir)
-    found = te.bounds(te.vertex_table(placed), triangles=te.triangle_table(placed))
+    found = te.bounds(te.vertex_table(placed), counts=te.triangle_counts(placed))
     return rounded(found, *[f"{n}_{c}" for n in ("min", "max") for c in "xyz"])
 
 

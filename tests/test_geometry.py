@@ -99,10 +99,10 @@ def terrain_inputs(spark, normals):
 @pytest.mark.parametrize("normals", [None, [[0.0, 0.0, 1.0]] * 4])
 def test_terrain_faces_point_up(spark, normals):
     placed = terrain_inputs(spark, normals)
-    assert sorted(r.instance_idx for r in placed.collect()) == [0, 2]
+    assert sorted(r.instance_idx for r in placed.instances.collect()) == [0, 2]
     align = Rigid.from_wxyz((1.0, 0.0, 0.0, 0.0), (0.0, 0.0, 0.0))
     geometry = te.world_geometry(placed, align)
-    assert {r.instance_idx: r.vertex_offset for r in geometry.collect()} == {0: 0, 2: 4}
+    assert {r.instance_idx: r.vertex_offset for r in geometry.instances.collect()} == {0: 0, 2: 4}
     p = [Vec(*[F.col(f"{c}{k}") for c in "xyz"]) for k in range(3)]
     up = rot.cross(rot.subtract(p[1], p[0]), rot.subtract(p[2], p[0])).z
     faces = te.triangle_table(geometry).select("a", "b", "c", up.alias("up")).collect()
@@ -110,6 +110,37 @@ def test_terrain_faces_point_up(spark, normals):
     assert {v for f in faces for v in (f.a, f.b, f.c)} == set(range(8))
 
 
+def test_pages_and_copies_of_a_hot_mesh_change_nothing(spark, monkeypatch):
+    grid = [[float(i % 5), float(i // 5), float(i * i % 7)] for i in range(25)]
+    indices = [v for i in range(20) if i % 5 < 4 for v in (i, i + 1, i + 5)] + [3]
+    meshes = spark.createDataFrame(
+        [("T", 0, None, grid, None, indices), ("T", 1, None, grid[:4], grid[:4], [0, 1, 2, 1, 2, 3])],
+        "terrain_hash string, mesh_idx int, asset_path string, vertices array<array<double>>, "
+        "normals array<array<double>>, indices array<long>",
+    )
+    instances = spark.range(90).selectExpr(
+        "'T' AS terrain_hash", "id AS instance_idx", "if(id % 30 = 0, 1, 0) AS mesh_idx",
+        "array(id * 1.0D, 0.0D, 2.0D) AS location", "array(0.0D, 0.0D, 0.0D, 1.0D) AS rotation_quat_xyzw",
+        "array(1.0D, 1.0D, if(id % 4 = 0, -1.0D, 1.0D)) AS scale",
+    )
+    found = []
+    for page, share in ((1024, 4096), (4, 8)):
+        monkeypatch.setattr(te, "PAGE", page)
+        monkeypatch.setattr(te, "SHARE", share)
+        world = te.world_geometry(te.placed_meshes(instances, meshes), None)
+        vertices = sorted(map(tuple, te.vertex_table(world).collect()))
+        triangles = sorted(map(tuple, te.triangle_table(world).collect()))
+        counts = te.triangle_counts(world).first()
+        assert counts.n_triangles == len(triangles) == 87 * 16 + 3 * 2
+        assert [v[2] for v in vertices] == list(range(87 * 25 + 3 * 4))
+        found.append((vertices, triangles))
+    assert found[0] == found[1]
+    for hidden, i, vid, x, y, z in found[0][0][:200]:
+        local = vid - min(v[2] for v in found[0][0] if v[1] == i)
+        flip = -1.0 if i % 4 == 0 else 1.0
+        assert (x, y, z) == (grid[local][0] + i, grid[local][1], grid[local][2] * flip + 2.0)
+
+
 def test_corridor_equals_brute_force(spark):
     rng = np.random.default_rng(9)
     pts = np.vstack([rng.uniform(0, 100, (80, 2)), np.tile([[50.0, 50.0]], (40, 1)) + rng.normal(0, 0.2, (40, 2))])
