@@ -296,6 +296,20 @@ def test_factor_one_is_exact_with_ties_and_unusable_vectors(spark):
             assert np.allclose([d for _, d in found[q]], [d for _, d in near], rtol=0, atol=1e-12)
 
 
+def test_queries_far_from_all_others_find_their_nearest(spark):
+    """Where distances hardly differ beside their size, a raised bound skips the nearest."""
+    rng = np.random.default_rng(8)
+    places = rng.normal(size=(3000, 8))
+    places[::100] *= 40
+    places[1::2] += 1e4  # a second cluster, where rounding is coarser
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(places)]
+    found = {}
+    for r in vp_trees.nearest(vectors_of(spark, rows), F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    expected = brute_nearest(rows, set(range(0, 3000, 100)), 10)
+    assert found == {q: [i for i, _ in near] for q, near in expected.items()}
+
+
 def test_few_candidates_and_no_rows(spark):
     df = vectors_of(spark, [(0, [1.0]), (100, [3.0]), (7, [2.0])])
     got = vp_trees.nearest(df, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect()
