@@ -400,7 +400,8 @@ def near_trajectory(
     per cell with the rectangle they span, however many share a cell. Against that
     rectangle a box is surely near, surely not, or open; only the open pairs look
     at the distinct points of their cell, and only one side of that join has more
-    than one row per cell and box.
+    than one row per cell and box. Spark's estimate of the boxes' size does not know
+    their cells, so they are sorted and merged: a broadcast would hold all of them.
     """
     def cell_of(value: Column) -> Column:
         return F.floor(value / reach).cast("long")
@@ -414,7 +415,7 @@ def near_trajectory(
     ).withColumn(
         "_cy", F.explode(F.sequence(cell_of(F.col("min_y") - reach), cell_of(F.col("max_y") + reach)))
     )
-    pairs = covers.join(cells, [*by, "_cx", "_cy"])
+    pairs = covers.hint("merge").join(cells, [*by, "_cx", "_cy"])
 
     def outside(value: Column, axis: str) -> Column:
         return F.greatest(F.col(f"min_{axis}") - value, value - F.col(f"max_{axis}"), F.lit(0.0))

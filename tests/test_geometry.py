@@ -1,4 +1,5 @@
 import math
+import re
 
 import numpy as np
 import pytest
@@ -156,3 +157,22 @@ def test_corridor_equals_brute_force(spark):
     want = set(np.where(((d**2).sum(2) <= reach * reach).any(1))[0])
     got = te.near_trajectory(boxes, points, ["t"], ["i"], reach=reach)
     assert {r.i for r in got.collect()} == want and 0 < len(want) < 200
+
+
+def broadcast_parts(df):
+    """The plan below each broadcast."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [re.match(r"[ :+\-|]*", line).end() for line in lines]
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            stop = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            yield "\n".join(lines[i:stop])
+
+
+def test_cells_of_boxes_are_never_broadcast(spark):
+    sides = ["0D AS min_x", "0D AS min_y", "50D AS max_x", "50D AS max_y"]
+    boxes = spark.range(1).selectExpr("'A' AS t", "id + 1 AS i", *sides)
+    points = spark.range(20_000).selectExpr("'A' AS t", "id % 7 AS s", "cast(id % 300 AS double) AS x", "cast(id % 11 AS double) AS y")
+    got = te.near_trajectory(boxes, points, ["t"], ["i"], reach=0.7)
+    assert not [part for part in broadcast_parts(got) if "Generate explode" in part]
+    assert [r["i"] for r in got.collect()] == [1]
