@@ -453,6 +453,23 @@ def interacted_instances(recordings: DataFrame, key: Sequence[str]) -> DataFrame
     )
 
 
+def near_interacted(
+    boxes: DataFrame,
+    points: DataFrame,
+    interacted: DataFrame,
+    key: Sequence[str],
+    *,
+    reach: float = CORRIDOR_CM,
+) -> DataFrame:
+    """The ``interacted`` rows (``key``, ``terrain_hash``, ``instance_idx``) whose instance
+    has its box near the points of the same ``key`` and terrain, with that box. Only these
+    pairs are looked at, not every box that comes near a trajectory."""
+    at = ["terrain_hash", "instance_idx"]
+    named = boxes.join(interacted.select(*at).distinct(), at, "left_semi")
+    pairs = settle(interacted.select(*key, *at).distinct().join(named.hint("merge"), at))
+    return near_trajectory(pairs, points, [*key, "terrain_hash"], ["instance_idx"], reach=reach)
+
+
 def interaction_agreement(
     interacted: DataFrame, near: DataFrame, key: Sequence[str]
 ) -> DataFrame:

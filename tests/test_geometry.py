@@ -176,3 +176,20 @@ def test_cells_of_boxes_are_never_broadcast(spark):
     got = te.near_trajectory(boxes, points, ["t"], ["i"], reach=0.7)
     assert not [part for part in broadcast_parts(got) if "Generate explode" in part]
     assert [r["i"] for r in got.collect()] == [1]
+
+
+def test_only_interacted_pairs_are_judged(spark):
+    boxes = spark.createDataFrame(
+        [("A", 1, 0.0, 0.0, 1.0, 1.0), ("A", 2, 9.0, 9.0, 9.5, 9.5), ("B", 3, 0.0, 0.0, 1.0, 1.0), ("A", 4, 0.0, 0.0, 1.0, 1.0)],
+        "terrain_hash string, instance_idx int, min_x double, min_y double, max_x double, max_y double",
+    )
+    points = spark.createDataFrame(
+        [(7, "A", 1.5, 0.5), (7, "A", 1.4, 0.5), (8, "A", 20.0, 0.0), (9, "B", 0.5, 0.5), (9, "A", 9.0, 9.0)],
+        "seg_id int, terrain_hash string, x double, y double",
+    )
+    said = [(7, "A", 1), (7, "A", 1), (7, "A", 2), (7, "A", 99), (8, "A", 1), (9, "B", 3), (9, "A", 3), (9, "A", 2), (None, "A", 1)]
+    told = spark.createDataFrame(said, "seg_id int, terrain_hash string, instance_idx int")
+    near = te.near_interacted(boxes, points, told, ["seg_id"], reach=0.7)
+    assert sorted((r["seg_id"], r["instance_idx"]) for r in near.collect()) == [(7, 1), (9, 2), (9, 3)]
+    agreed = te.interaction_agreement(told, near, ["seg_id"])
+    assert agreed.where("is_near").count() == 5 and agreed.count() == len(said)
