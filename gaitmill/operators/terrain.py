@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +33,8 @@ SCALE_EPS = 1e-6
 #: share one copy of them.
 PAGE = 1024
 SHARE = 4096
+#: Motions that meet a page of faces in one task when trajectories crop them.
+MOTIONS = 256
 MESH = ["terrain_hash", "mesh_idx"]
 
 
@@ -342,45 +347,152 @@ def crop_faces(
     motion, with the used vertices numbered anew. Where none does, and where a
     motion has no points, all stay.
 
-    ``motion_terrain`` maps motions to terrains. Boxes and face centres meet in
-    square cells, so only neighbours are paired; only motions that keep nothing
-    are joined with their whole terrain, which then is their result.
+    ``motion_terrain`` maps motions to their terrain. The result can be as large as
+    motions times faces, so its rows are made last and never move: vertices are numbered
+    densely per terrain and cut into pages, motions meet the pages that their box
+    touches, and what a motion uses of a page is only counted first. The sums of those
+    counts are where a motion's numbers start in each page. Faces across pages are put
+    together from their pages.
     """
     box = points.groupBy(key).agg(
         *[f(c).alias(f"_{n}_{c}") for c in "xy" for n, f in (("min", F.min), ("max", F.max))]
     )
-    boxes = motion_terrain.select(key, "terrain_hash").join(box, key, "left")
-    low = {c: F.col(f"_min_{c}") - margin for c in "xy"}
-    high = {c: F.col(f"_max_{c}") + margin for c in "xy"}
-    centre = {c: (F.col(f"{c}0") + F.col(f"{c}1") + F.col(f"{c}2")) / 3.0 for c in "xy"}
+    boxes = motion_terrain.select(F.col(key).alias("_key"), "terrain_hash").join(
+        box.withColumnRenamed(key, "_key"), "_key", "left"
+    )
+    # As in comparisons of columns, NaN lies above all numbers.
+    limits = {f"_low_{c}": F.col(f"_min_{c}") - margin for c in "xy"}
+    limits |= {f"_high_{c}": F.nanvl(F.col(f"_max_{c}") + margin, F.lit(float("inf"))) for c in "xy"}
+    boxes = settle(boxes.select("_key", "terrain_hash", *[c.cast("double").alias(n) for n, c in limits.items()]))
+    faces = _dense_faces(triangles, max_rows)
+    pages = _face_pages(faces)
+    # Under a name of its own: motions and faces of a page are grouped side by side.
+    extent = pages.groupBy("terrain_hash", F.col("_page").alias("_page")).agg(
+        *[f(f"_centre_{c}").alias(f"_{n}_{c}") for c in "xy" for n, f in (("min", F.min), ("max", F.max))]
+    )
+    touched = F.lit(True)
+    for c in "xy":
+        touched = touched & (F.col(f"_min_{c}") <= F.col(f"_high_{c}")) & (F.col(f"_max_{c}") >= F.col(f"_low_{c}"))
+    blocks = boxes.groupBy("terrain_hash").agg(F.ceil(F.count(F.lit(1)) / MOTIONS).cast("long").alias("_blocks"))
+    visits = settle(
+        boxes.join(blocks, "terrain_hash")
+        .withColumn("_block", F.pmod(F.xxhash64("_key"), F.col("_blocks")))
+        .join(extent.hint("merge"), "terrain_hash")
+        .where(touched)
+        .select("_key", "terrain_hash", "_page", "_block", *limits)
+    )
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))
+    copied = settle(pages.join(blocks, "terrain_hash").withColumn("_block", copies).drop("_blocks"))
+    kind = boxes.schema["_key"].dataType.simpleString()
+    by = ["terrain_hash", "_page", "_block"]
+
+    def met(faces: DataFrame, motions: DataFrame, task, schema: str) -> DataFrame:
+        return faces.groupBy(*by).cogroup(motions.groupBy(*by)).applyInArrow(task, schema)
+
+    counts = settle(met(copied, visits, functools.partial(_count_used, PAGE), f"_key {kind}, terrain_hash string, _page long, _used long"))
+    starts = (
+        Track.of(counts, ["_key", "terrain_hash"], ["_page"], max_rows=max_rows)
+        .running(sums={"_upto": F.col("_used")})
+        .result()
+        .select("_key", "terrain_hash", "_page", (F.col("_upto") - F.col("_used")).alias("_start"))
+    )
+    placed = settle(visits.join(starts, ["_key", "terrain_hash", "_page"]))
+    columns = [f"new_{n}" for n in "abc"]
+    types = {t.name: t.dataType.simpleString() for t in faces.schema}
+    made = ", ".join(
+        [f"{key} {kind}", *[f"{n} {types[n]}" for n in ("instance_idx", "face_idx")], *[f"{c} long" for c in columns]]
+    )
+    out = met(copied, placed, functools.partial(_number_used, PAGE, False, key), made)
+    across = pages.where("_wide").select("terrain_hash", "_page").distinct()
+    if across.limit(1).count():
+        # A face across pages has each number from one of them.
+        parts = met(
+            copied.join(across, ["terrain_hash", "_page"], "left_semi"),
+            placed.join(across, ["terrain_hash", "_page"], "left_semi"),
+            functools.partial(_number_used, PAGE, True, key),
+            made,
+        )
+        whole = parts.groupBy(key, "instance_idx", "face_idx").agg(*[F.max(c).alias(c) for c in columns])
+        out = out.unionByName(whole)
+    used = counts.select("_key", "terrain_hash").distinct()
+    empty = boxes.join(used, ["_key", "terrain_hash"], "left_anti").select(F.col("_key").alias(key), "terrain_hash")
+    every = faces.select("terrain_hash", "instance_idx", "face_idx", *[F.col(f"_{n}").alias(f"new_{n}") for n in "abc"])
+    return out.unionByName(empty.join(every, "terrain_hash").drop("terrain_hash"))
+
+
+def _dense_faces(triangles: DataFrame, max_rows: int) -> DataFrame:
+    """Faces with their centre and, as ``_a, _b, _c``, the places of their vertices among
+    those that the faces of the terrain use."""
+    faces = settle(
+        triangles.select(
+            "terrain_hash", "instance_idx", "face_idx", "a", "b", "c",
+            *[((F.col(f"{c}0") + F.col(f"{c}1") + F.col(f"{c}2")) / 3.0).alias(f"_centre_{c}") for c in "xy"],
+        )
+    )
+    used = faces.select("terrain_hash", F.explode(F.array("a", "b", "c")).alias("_vertex")).distinct()
+    places = settle(
+        Track.of(used, ["terrain_hash"], ["_vertex"], max_rows=max_rows)
+        .numbered("_place")
+        .result()
+        .select("terrain_hash", "_vertex", F.col("_place").cast("long").alias("_place"))
+    )
+    for n in "abc":
+        renamed = places.withColumnsRenamed({"_vertex": n, "_place": f"_{n}"})
+        faces = faces.join(renamed, ["terrain_hash", n])
+    return settle(faces.drop("a", "b", "c"))
 
-    def cell_of(value: Column) -> Column:
-        return F.floor(value / (2 * margin)).cast("long")
 
-    faces = triangles.select(
-        "terrain_hash", "instance_idx", "face_idx", "a", "b", "c",
-        *[v.alias(f"_centre_{c}") for c, v in centre.items()],
-        *[cell_of(v).alias(f"_cell_{c}") for c, v in centre.items()],
-    )
-    covers = boxes
-    for c in "xy":
-        span = F.sequence(cell_of(low[c]), cell_of(high[c]))
-        covers = covers.withColumn(f"_cell_{c}", F.explode(span))
-    near = F.lit(True)
+def _face_pages(faces: DataFrame) -> DataFrame:
+    """Each face in every page that one of its vertices is in, ``_wide`` if in several."""
+    pages = F.array_distinct(F.array(*[F.floor(F.col(f"_{n}") / PAGE) for n in "abc"]))
+    return faces.withColumn("_pages", pages).select(
+        "*", (F.size("_pages") > 1).alias("_wide"), F.explode("_pages").alias("_page")
+    ).drop("_pages")
+
+
+def _inside(size: int, faces: pa.Table, motions: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which motions (rows) have which faces of a page; the places of the corners in the
+    page, ``size`` where they are in another one; which motions use which vertices."""
+    near = np.ones((motions.num_rows, faces.num_rows), bool)
     for c in "xy":
-        near = near & F.col(f"_centre_{c}").between(low[c], high[c])
-    columns = [key, "instance_idx", "face_idx", "a", "b", "c"]
-    met = covers.join(faces, ["terrain_hash", "_cell_x", "_cell_y"])
-    inside = settle(met.where(near).select(*columns))
-    empty = boxes.join(inside.select(key).distinct(), key, "left_anti")
-    kept = settle(inside.unionByName(empty.join(faces, "terrain_hash").select(*columns)))
-    used = kept.select(key, F.explode(F.array("a", "b", "c")).alias("vertex_id")).distinct()
-    numbers = Track.of(used, [key], ["vertex_id"], max_rows=max_rows).numbered("_new").result()
-    out = kept.select(key, "instance_idx", "face_idx", "a", "b", "c")
-    for n in "abc":
-        renamed = numbers.select(key, F.col("vertex_id").alias(n), F.col("_new").alias(f"new_{n}"))
-        out = out.join(renamed, [key, n])
-    return out.select(key, "instance_idx", "face_idx", *[f"new_{n}" for n in "abc"])
+        at = faces[f"_centre_{c}"].to_numpy()
+        near &= at >= motions[f"_low_{c}"].to_numpy()[:, None]
+        near &= at <= motions[f"_high_{c}"].to_numpy()[:, None]
+    first = faces["_page"][0].as_py() * size
+    corners = np.stack([faces[f"_{n}"].to_numpy() - first for n in "abc"])
+    corners = np.where((corners < 0) | (corners >= size), size, corners)
+    order = np.argsort(corners.ravel(), kind="stable")
+    vertices, starts = np.unique(corners.ravel()[order], return_index=True)
+    used = np.zeros((motions.num_rows, size + 1), bool)
+    used[:, vertices] = np.logical_or.reduceat(near[:, order % faces.num_rows], starts, axis=1)
+    return near, corners, used[:, :size]
+
+
+def _count_used(size: int, faces: pa.Table, motions: pa.Table) -> pa.Table:
+    """Number of vertices of a page that each motion uses, where it uses any."""
+    counts = np.empty(0, np.int64)
+    if faces.num_rows and motions.num_rows:
+        counts = _inside(size, faces, motions)[2].sum(axis=1, dtype=np.int64)
+    some = np.flatnonzero(counts)
+    kept = motions.select(["_key", "terrain_hash", "_page"]).take(pa.array(some))
+    return kept.append_column("_used", pa.array(counts[some]))
+
+
+def _number_used(
+    size: int, wide: bool, key: str, faces: pa.Table, motions: pa.Table
+) -> pa.Table:
+    """The faces of a page that each motion has, those across pages or the others, with
+    the numbers of their corners; null for corners in another page."""
+    row = face = np.empty(0, np.int64)
+    numbers = [pa.array([], pa.int64())] * 3
+    if faces.num_rows and motions.num_rows:
+        near, corners, used = _inside(size, faces, motions)
+        row, face = np.nonzero(near & (faces["_wide"].to_numpy() == wide))
+        number = np.cumsum(used, axis=1, dtype=np.int64) - 1 + motions["_start"].to_numpy()[:, None]
+        number = np.append(number, np.zeros((len(number), 1), np.int64), axis=1)
+        numbers = [pa.array(number[row, c[face]], mask=c[face] == size) for c in corners]
+    columns = [motions["_key"].take(pa.array(row)), *[faces[n].take(pa.array(face)) for n in ("instance_idx", "face_idx")]]
+    return pa.Table.from_arrays([*columns, *numbers], [key, "instance_idx", "face_idx", "new_a", "new_b", "new_c"])
 
 
 def near_trajectory(

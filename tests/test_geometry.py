@@ -1,5 +1,6 @@
 import math
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from gaitmill.functions import rotation as rot
 from gaitmill.functions.rotation import Quat, Rigid, Vec
 from gaitmill.operators import calibrate as cal
+from gaitmill.operators import shared
 from gaitmill.operators import smoothing as sm
 from gaitmill.operators import terrain as te
 
@@ -193,3 +195,60 @@ def test_only_interacted_pairs_are_judged(spark):
     assert sorted((r["seg_id"], r["instance_idx"]) for r in near.collect()) == [(7, 1), (9, 2), (9, 3)]
     agreed = te.interaction_agreement(told, near, ["seg_id"])
     assert agreed.where("is_near").count() == 5 and agreed.count() == len(said)
+
+
+def brute_crop(faces, points, motions, margin):
+    out = set()
+    for motion, terrain in motions:
+        own = [f for f in faces if f[0] == terrain]
+        at = [p[1:] for p in points if p[0] == motion]
+        near = []
+        if at:
+            low, high = np.min(at, 0) - margin, np.max(at, 0) + margin
+            centre = lambda f: [sum(f[6 + c : 12 : 2]) / 3.0 for c in (0, 1)]
+            near = [f for f in own if (low <= centre(f)).all() and (centre(f) <= high).all()]
+        kept = near or own
+        new = {v: i for i, v in enumerate(sorted({v for f in kept for v in f[3:6]}))}
+        out |= {(motion, f[1], f[2], *[new[v] for v in f[3:6]]) for f in kept}
+    return out
+
+
+@pytest.mark.parametrize("page, motions, max_rows", [(1024, 256, 100_000), (8, 2, 100_000), (8, 2, 10)])
+def test_crop_with_shared_vertices_equals_brute_force(spark, monkeypatch, page, motions, max_rows):
+    """Vertices are shared between faces, also far apart, and pages are cut through them."""
+    monkeypatch.setattr(te, "PAGE", page)
+    monkeypatch.setattr(te, "MOTIONS", motions)
+    rng = np.random.default_rng(4)
+    faces = []
+    for terrain in "AB":
+        spots = rng.uniform(0, 40, (60, 2))
+        for f in range(90):
+            ids = [f % 58, f % 58 + 1, f % 58 + 2] if f % 9 else rng.choice(60, 3, replace=False).tolist()
+            faces.append((terrain, f // 10, f % 10, *[7 * i + 3 for i in ids], *map(float, spots[ids].ravel())))
+    points = [(m, float(x), float(y)) for m in range(7) for x, y in rng.uniform(0, 40, 2) + rng.normal(0, 2, (5, 2))]
+    points.append((7, 900.0, 900.0))
+    walks = [(m, "AB"[m % 2]) for m in range(9)] + [(9, "C")]
+    rows = spark.createDataFrame(faces, "terrain_hash string, instance_idx int, face_idx int, a long, b long, c long, x0 double, y0 double, x1 double, y1 double, x2 double, y2 double")
+    got = te.crop_faces(
+        rows,
+        spark.createDataFrame(points, "seg_id int, x double, y double"),
+        spark.createDataFrame(walks, "seg_id int, terrain_hash string"),
+        max_rows=max_rows,
+    )
+    got = list(map(tuple, got.collect()))
+    assert len(got) == len(set(got)) and set(got) == brute_crop(faces, points, walks, te.CROP_MARGIN)
+
+
+def test_crop_never_moves_its_result(spark):
+    """What is written on the way grows with motions and pages, not with their product of faces."""
+    faces = spark.range(600).selectExpr(
+        "'A' AS terrain_hash", "id AS instance_idx", "0 AS face_idx", "3 * id AS a", "3 * id + 1 AS b", "3 * id + 2 AS c",
+        *[f"cast(id % 9 AS double) AS {n}{k}" for n in "xyz" for k in range(3)],
+    )
+    points = spark.range(400).selectExpr("id AS seg_id", "4D AS x", "4D AS y", "'A' AS terrain_hash")
+    folder = Path(shared.shared_folder(spark).removeprefix("file:"))
+    old = set(folder.glob("settled-*"))
+    got = te.crop_faces(faces, points, points.select("seg_id", "terrain_hash"), margin=9.0)
+    new = set(folder.glob("settled-*")) - old
+    assert got.count() == 400 * 600
+    assert sum(spark.read.parquet(str(p)).count() for p in new) < 20_000
