@@ -30,6 +30,8 @@ WITHIN = 80
 SHARD = 1_500_000
 #: Bits of a bitmap, as a power of two: 8 MB whatever the data.
 BITS = 26
+#: Places that are hashed or looked up at once.
+CHUNK = 65_536
 #: Words whose hash a Python worker remembers; beyond it the store starts anew.
 STORE = 250_000
 
@@ -62,23 +64,43 @@ def words(text: bytes) -> list[bytes]:
 
 
 class Shard:
-    """Texts of one language as one array of word hashes."""
-
-    def __init__(self, lang: str, total: int):
-        self.lang, self.total, self.bytes = lang, total, 0
-        self.words: list[bytes] = []
+    """Texts of one language as one array of word hashes; where ``named``, also as one
+    run of bytes with the place of each word. No object is kept for a word."""
+
+    def __init__(self, lang: str, total: int, named: bool = True):
+        self.lang, self.total, self.bytes, self.size = lang, total, 0, 0
+        self.named = named
+        self.parts: list[tuple[np.ndarray, np.ndarray | None]] = []
+        self.run = bytearray()
         self.salt = np.uint64(xxhash.xxh64_intdigest(lang))
 
     def add(self, text: bytes) -> None:
+        found = words(text)
+        n = len(found)
         self.bytes += len(text)
-        self.words += words(text)
+        self.size += n
+        ends = None
+        if self.named:
+            ends = len(self.run) + np.cumsum(np.fromiter(map(len, found), np.int64, n) + 1)
+            self.run += b" ".join(found) + b" "
+        self.parts.append((np.fromiter(map(_hashes.__getitem__, found), np.uint64, n), ends))
 
     def close(self) -> None:
-        self.hashes = np.fromiter(map(_hashes.__getitem__, self.words), np.uint64, len(self.words))
-        ends = np.flatnonzero(self.hashes == 0)
-        lengths = np.diff(ends, prepend=-1)
-        #: Words from each place to the end of its piece; 0 at an end.
-        self.left = np.repeat(ends, lengths) - np.arange(len(self.hashes))
+        self.hashes = np.concatenate([h for h, _ in self.parts])
+        if self.named:
+            self.starts = np.concatenate([[0], *[e for _, e in self.parts]])
+        self.parts.clear()
+        #: Words from each place to the end of its piece, ``LONGEST`` at most; 0 at an end.
+        self.left = np.zeros(len(self.hashes), np.int8)
+        inside = self.hashes != 0
+        more = inside.copy()
+        for _ in range(LONGEST):
+            self.left += more
+            more[:-1] = inside[:-1] & more[1:]
+
+    def name(self, at: int, k: int) -> bytes:
+        """The ``k`` words from ``at`` on, joined by spaces."""
+        return bytes(self.run[self.starts[at] : self.starts[at + k] - 1])
 
     def support(self, support: int) -> int:
         return max(1, -(-support * self.bytes // self.total))
@@ -94,20 +116,27 @@ class Shard:
         return at, self._hashed(at, k)
 
     def _hashed(self, at: np.ndarray, k: int) -> np.ndarray:
-        value = np.full(len(at), self.salt ^ np.uint64(k))
-        for i in range(k):
-            value = (value ^ (value >> np.uint64(29))) * _FOLD + self.hashes[at + i]
-        value = (value ^ (value >> np.uint64(32))) * _MIX
-        return value ^ (value >> np.uint64(29))
+        out = np.empty(len(at), np.uint64)
+        for lo in range(0, len(at), CHUNK):  # what is computed on the way stays small
+            some = at[lo : lo + CHUNK]
+            value = np.full(len(some), self.salt ^ np.uint64(k))
+            for i in range(k):
+                value = (value ^ (value >> np.uint64(29))) * _FOLD + self.hashes[some + i]
+            value = (value ^ (value >> np.uint64(32))) * _MIX
+            out[lo : lo + CHUNK] = value ^ (value >> np.uint64(29))
+        return out
 
 
 def _holds(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    slot = hashes >> np.uint64(65 - (64 * len(bitmap)).bit_length())
-    bits = bitmap[(slot >> np.uint64(6)).astype(np.int64)]
-    return (bits >> (slot & np.uint64(63))) & np.uint64(1) == 1
+    out = np.empty(len(hashes), bool)
+    for lo in range(0, len(hashes), CHUNK):
+        slot = hashes[lo : lo + CHUNK] >> np.uint64(65 - (64 * len(bitmap)).bit_length())
+        bits = bitmap[(slot >> np.uint64(6)).astype(np.int64)]
+        out[lo : lo + CHUNK] = (bits >> (slot & np.uint64(63))) & np.uint64(1) == 1
+    return out
 
 
-def shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Shard]:
+def shards(batches: Iterator[pa.RecordBatch], size: int, named: bool) -> Iterator[Shard]:
     """Shards of about ``size`` words from rows of ``lang``, ``total`` (bytes of the language) and ``text``."""
     open_: dict[str, Shard] = {}
     held = 0
@@ -116,13 +145,13 @@ def shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Shard]:
         for lang, total, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
             shard = open_.get(lang)
             if shard is None:
-                shard = open_[lang] = Shard(lang, total)
-            before = len(shard.words)
+                shard = open_[lang] = Shard(lang, total, named)
+            before = shard.size
             shard.add(text.as_py())
-            held += len(shard.words) - before
+            held += shard.size - before
             if held >= size:  # the largest goes, so memory is bounded for many languages
-                full = max(open_.values(), key=lambda s: len(s.words))
-                held -= len(full.words)
+                full = max(open_.values(), key=lambda s: s.size)
+                held -= full.size
                 del open_[full.lang]
                 full.close()
                 yield full
@@ -139,7 +168,7 @@ def mined(spark: SparkSession, texts: DataFrame, k: int, shorter, support: int)
     size = SHARD
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in shards(batches, size):
+        for shard in shards(batches, size, False):
             least = shard.support(support)
             _, hashes = shard.phrases(k, shorter and shorter.value)
             found, counts = np.unique(hashes, return_counts=True)
@@ -177,7 +206,7 @@ def counted(texts: DataFrame, bitmaps) -> DataFrame:
     size = SHARD
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in shards(batches, size):
+        for shard in shards(batches, size, True):
             sizes, phrases, counts = [0], [b""], [int((shard.left > 0).sum())]
             for k, bitmap in enumerate(bitmaps.value, 1):
                 at, hashes = shard.phrases(k, None if k == 1 else bitmaps.value[k - 2])
@@ -187,13 +216,13 @@ def counted(texts: DataFrame, bitmaps) -> DataFrame:
                 ids, names = {}, []
                 _, first, group = np.unique(hashes, return_index=True, return_inverse=True)
                 for i in first.tolist():
-                    names.append(b" ".join(shard.words[at[i] : at[i] + k]))
+                    names.append(shard.name(at[i], k))
                 same = np.ones(len(at), bool)
                 for i in range(k):
                     same &= shard.hashes[at + i] == shard.hashes[at[first][group] + i]
                 totals = np.bincount(group[same], minlength=len(first))
                 for i in at[~same].tolist():
-                    name = b" ".join(shard.words[i : i + k])
+                    name = shard.name(i, k)
                     ids[name] = ids.get(name, 0) + 1
                 sizes += [k] * (len(names) + len(ids))
                 phrases += names + list(ids)

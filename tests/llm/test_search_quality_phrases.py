@@ -198,3 +198,21 @@ def test_phrases_of_nothing(spark):
     assert phrases.collocations(docs).collect() == []
     assert phrases.collocations(docs.limit(0)).columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     assert phrases.collocations(docs.limit(0)).collect() == []
+
+
+def test_shard_keeps_no_object_for_a_word():
+    """Words of a shard are arrays and one run of bytes, and are read back as they were."""
+    import tracemalloc
+
+    text = b"Ab,  cd\tef gh ij. " * 20_000
+    shard = phrases.Shard("en", 1)
+    tracemalloc.start()
+    shard.add(text)
+    shard.add(b"last one")
+    shard.close()
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 30 * len(shard.hashes)
+    assert shard.name(1, 1) == b"\xff" and shard.name(2, 3) == b"cd ef gh"
+    assert shard.name(len(shard.hashes) - 3, 2) == b"last one"
+    assert shard.left[:7].tolist() == [1, 0, 4, 3, 2, 1, 0] and shard.left[-3:].tolist() == [2, 1, 0]
