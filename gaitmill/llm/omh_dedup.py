@@ -257,15 +257,17 @@ def prefixes(texts: DataFrame, groups: DataFrame) -> DataFrame:
 def across(first: DataFrame, groups: DataFrame, *, every: bool) -> DataFrame:
     """Pairs that share one of their ``first`` k-mers (see ``prefixes``) and are in
     different ``groups``: ``every`` such pair that has enough k-mers left to be similar,
-    or only those with one member that is drawn for the k-mer."""
+    or only those with the hub of the k-mer, the member with the largest part of its own
+    k-mers left: of copies of one text the least edited, to which most others are near."""
     labelled = first.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     sides = [
         labelled.select("kmer", *[F.col(c).alias(side + c) for c in ("node", "root", "n", "rest")])
         for side in "uv"
     ]
     if not every:
-        drawn = F.min_by(F.struct("*"), F.xxhash64("vnode", "kmer")).alias("d")
-        sides[1] = sides[1].groupBy("kmer").agg(drawn).select("d.*")
+        order = F.struct(F.col("vrest") / F.col("vn"), F.xxhash64("vnode", "kmer"))
+        hub = F.max_by(F.struct("*"), order).alias("d")
+        sides[1] = sides[1].groupBy("kmer").agg(hub).select("d.*")
     # A pair is similar only if it has enough common k-mers from its first one on.
     enough = f"least(urest, vrest) >= (un + vn) * {SIMILARITY / (1 + SIMILARITY)} - 1e-6"
     order = "unode < vnode" if every else "true"
@@ -305,8 +307,9 @@ def search(docs: DataFrame, text: str = "text") -> DataFrame:
     candidates go on to the verification, one of each digest.
 
     Documents with a large bucket are then joined exactly where they are not in one
-    group yet. First they meet one document for each k-mer, which leaves fewer groups.
-    All other documents have small buckets only, which give all their pairs.
+    group yet. First they meet the hub of each k-mer, which leaves few groups, and only
+    then all that are still in other groups. All other documents have small buckets
+    only, which give all their pairs.
     """
     rows = with_digest(docs.select(F.col(text).alias("_text")), "_text")
     sketched = settle(
