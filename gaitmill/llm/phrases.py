@@ -30,6 +30,9 @@ WITHIN = 80
 SHARD = 1_500_000
 #: Bits of a bitmap, as a power of two: 8 MB whatever the data.
 BITS = 26
+#: Ranges of hashes whose reports are summed apart: by the bytes of the largest language,
+#: and no more than leave about a thousand phrases of a full shard in each.
+RANGE_BYTES, LEAST_RANGES, MOST_RANGES = 4 << 20, 16, 1_024
 #: Places that are hashed or looked up at once.
 CHUNK = 65_536
 #: Words whose hash a Python worker remembers; beyond it the store starts anew.
@@ -161,39 +164,81 @@ def shards(batches: Iterator[pa.RecordBatch], size: int, named: bool) -> Iterato
         yield last
 
 
-def mined(spark: SparkSession, texts: DataFrame, k: int, shorter, support: int) -> np.ndarray:
+def packed(keys: np.ndarray, counts: np.ndarray, ranges: int, most: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+    """Counts of sorted 32-bit ``keys`` in ``ranges`` equal parts (a power of two) that are
+    not empty: the part, keys per page of 65,536, low halves of the keys, and their counts,
+    none above ``most``."""
+    pages = np.bincount(keys >> np.uint32(16), minlength=1 << 16).astype(np.uint32)
+    low = keys.astype(np.uint16)
+    few = np.minimum(counts, most).astype(np.min_scalar_type(most))
+    width = (1 << 16) // ranges
+    ends = np.append(0, np.cumsum(pages.reshape(ranges, width).sum(axis=1), dtype=np.int64))
+    for r in np.flatnonzero(np.diff(ends)).tolist():
+        part = slice(ends[r], ends[r + 1])
+        yield r, pages[r * width : (r + 1) * width].tobytes(), low[part].tobytes(), few[part].tobytes()
+
+
+def unpacked(pages: bytes, low: bytes, counts: bytes, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, counted from the start of their range, and counts of a part of ``packed``."""
+    of_page = np.frombuffer(pages, np.uint32)
+    high = np.repeat(np.arange(len(of_page), dtype=np.uint32), of_page)
+    return high << np.uint32(16) | np.frombuffer(low, np.uint16), np.frombuffer(counts, np.min_scalar_type(most))
+
+
+def mined(spark: SparkSession, texts: DataFrame, k: int, shorter, support: int, ranges: int) -> np.ndarray:
     """Bitmap of the phrases of ``k`` words that can have ``support``, given the bitmap of
-    those of ``k - 1`` words (a broadcast, or None)."""
+    those of ``k - 1`` words (a broadcast, or None).
 
-    size = SHARD
+    Shards report 32 bits of a phrase's hash and its count, packed in as many rows as
+    there are ``ranges`` of hashes; a range of a language is summed in one task. A count
+    of ``support`` is enough by itself, so no larger one travels.
+    """
+
+    size, bits = SHARD, BITS
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in shards(batches, size, False):
             least = shard.support(support)
             _, hashes = shard.phrases(k, shorter and shorter.value)
-            found, counts = np.unique(hashes, return_counts=True)
+            keys, counts = np.unique((hashes >> np.uint64(32)).astype(np.uint32), return_counts=True)
             often = counts >= least
-            n = int(often.sum())
             # What the shard may have had of each phrase that it does not report.
+            parts = list(packed(keys[often], counts[often] - (least - 1), ranges, support))
+            n = len(parts)
+            columns = list(zip(*parts)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([shard.lang] * (n + 1)),
-                    pa.array(np.append(found[often].view(np.int64), 0)),
-                    pa.array([True] * n + [False]),
-                    pa.array(np.append(counts[often] - (least - 1), least - 1)),
+                    pa.array([*columns[0], -1], pa.int32()),
+                    *[pa.array([*c, b""], pa.binary()) for c in columns[1:]],
+                    pa.array([0] * n + [least - 1], pa.int64()),
                 ],
-                ["lang", "phrase", "reported", "n"],
+                ["lang", "range", "pages", "low", "counts", "unseen"],
             )
 
-    reports = texts.mapInArrow(mine, "lang string, phrase long, reported boolean, n long")
-    sums = settle(reports.groupBy("lang", "reported", "phrase").agg(F.sum("n").alias("n")))
-    unseen = sums.where("not reported").select("lang", F.col("n").alias("unseen"))
-    possible = sums.where("reported").join(unseen, "lang").where(f"n + unseen >= {support}")
-    slot = F.shiftrightunsigned("phrase", 64 - BITS)
-    bits = possible.select(slot.alias("slot")).selectExpr(
-        "slot div 64 as at", "shiftleft(1L, cast(slot % 64 as int)) as bit"
+    def add(part: pa.Table) -> pa.Table:
+        unseen, start = part.column("of_lang")[0].as_py(), part.column("range")[0].as_py()
+        rows = zip(*(part.column(c).to_pylist() for c in ("pages", "low", "counts")))
+        read = [unpacked(*row, support) for row in rows]
+        keys, counts = (np.concatenate(c) for c in zip(*read))
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        sums = np.add.reduceat(counts[order], first, dtype=np.int64)
+        possible = keys[first[sums + unseen >= support]].astype(np.int64)
+        slots = (possible + start * ((1 << 32) // ranges)) >> (32 - bits)
+        at, group = np.unique(slots >> 6, return_inverse=True)
+        table = np.zeros(len(at), np.uint64)
+        np.bitwise_or.at(table, group, np.uint64(1) << (slots & 63).astype(np.uint64))
+        return pa.table({"at": at, "bits": table.view(np.int64)})
+
+    reports = settle(
+        texts.mapInArrow(mine, "lang string, range int, pages binary, low binary, counts binary, unseen long")
     )
-    table = bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    unseen = reports.where("range = -1").groupBy("lang").agg(F.sum("unseen").alias("of_lang"))
+    told = reports.where("range >= 0").drop("unseen").join(unseen, "lang")
+    words = told.groupBy("lang", "range").applyInArrow(add, "at long, bits long")
+    table = words.groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
     bitmap = np.zeros(1 << (BITS - 6), np.uint64)
     bitmap[table.column("at").to_numpy()] = table.column("bits").to_numpy().view(np.uint64)
     return bitmap
@@ -303,9 +348,11 @@ def collocations(
     )
     sizes = settle(plain.groupBy("lang").agg(F.greatest(F.sum(F.octet_length("text")), F.lit(1)).alias("total")))
     texts = plain.join(sizes, "lang").select("lang", "total", "text")
+    total = sizes.agg(F.max("total")).first()[0] or 1
+    ranges = min(MOST_RANGES, max(LEAST_RANGES, 1 << (total // RANGE_BYTES).bit_length()))
     bitmaps, shared = [], None
     for k in range(1, LONGEST + 1):
-        bitmaps.append(mined(spark, texts, k, shared, support))
+        bitmaps.append(mined(spark, texts, k, shared, support, ranges))
         if shared is not None:
             shared.unpersist()
         shared = spark.sparkContext.broadcast(bitmaps[-1])

@@ -216,3 +216,21 @@ def test_shard_keeps_no_object_for_a_word():
     assert shard.name(1, 1) == b"\xff" and shard.name(2, 3) == b"cd ef gh"
     assert shard.name(len(shard.hashes) - 3, 2) == b"last one"
     assert shard.left[:7].tolist() == [1, 0, 4, 3, 2, 1, 0] and shard.left[-3:].tolist() == [2, 1, 0]
+
+
+def test_reports_travel_packed():
+    """A reported phrase takes about three bytes, no row, and is read back as it was."""
+    import numpy as np
+
+    draw = np.random.default_rng(1)
+    keys = np.unique(draw.integers(0, 1 << 32, 500_000, dtype=np.uint32))
+    counts = draw.integers(1, 90, len(keys))
+    rows = list(phrases.packed(keys, counts, 64, 30))
+    assert len(rows) == 64 and sum(len(b) for r in rows for b in r[1:]) < 4 * len(keys)
+    read = [(r, *phrases.unpacked(*parts, 30)) for r, *parts in rows]
+    assert (np.concatenate([r * (1 << 26) + k.astype(np.int64) for r, k, _ in read]) == keys).all()
+    assert (np.concatenate([n for *_, n in read]) == np.minimum(counts, 30)).all()
+    (last,) = phrases.packed(np.array([2**32 - 1], np.uint32), np.array([70_000]), 1_024, 100_000)
+    assert last[0] == 1_023
+    assert [x.tolist() for x in phrases.unpacked(*last[1:], 100_000)] == [[(1 << 22) - 1], [70_000]]
+    assert list(phrases.packed(keys[:0], counts[:0], 64, 30)) == []
