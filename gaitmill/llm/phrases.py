@@ -1,11 +1,9 @@
-"""Phrase collocations by SON partitioning: shards are mined whole at lowered support.
+"""Phrase collocations, word by word longer: tasks report hashes, then phrases are counted.
 
-A task cuts what it reads into shards of about ``SHARD`` words of one language. A shard
-with the part p of a language's bytes reports every phrase that it has ``p * support``
-times or more, rounded up: a phrase with the full support reaches that in one shard at
-least. Phrases are mined word by word longer, and only where both shorter ones are still
-candidates. Reports carry counts, so the sum of what shards reported and of what the others
-can have at most drops candidates before all of them are counted exactly.
+A task cuts what it reads into shards of about ``SHARD`` words of one language, and reports
+once, for all of them, the hash of each phrase and how often it has it. Sums over the tasks
+say which phrases can have the support; only where both shorter ones are among these is a
+longer one looked at, and in the end only these are counted exactly.
 
 Candidates travel as a bitmap of fixed size. It may let others through, never fewer, and
 what is counted in the end are phrases, not hashes: results do not depend on the bitmap.
@@ -13,11 +11,14 @@ what is counted in the end are phrases, not hashes: results do not depend on the
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +29,9 @@ SUPPORT, LONGEST, KEEP = 30, 4, 2_000
 WITHIN = 80
 #: Words of a shard, which bounds a task's memory; a longer text is a shard of its own.
 SHARD = 1_500_000
+#: Hashes, and phrases with their counts, that a task holds before it reports the language
+#: with most of them.
+MOST_HASHES, MOST_PHRASES = 1 << 23, 1 << 20
 #: Bits of a bitmap, as a power of two: 8 MB whatever the data.
 BITS = 26
 #: Ranges of hashes whose reports are summed apart: by the bytes of the largest language,
@@ -70,9 +74,8 @@ class Shard:
     """Texts of one language as one array of word hashes; where ``named``, also as one
     run of bytes with the place of each word. No object is kept for a word."""
 
-    def __init__(self, lang: str, total: int, named: bool = True):
-        self.lang, self.total, self.bytes, self.size = lang, total, 0, 0
-        self.named = named
+    def __init__(self, lang: str, named: bool = True):
+        self.lang, self.size, self.named = lang, 0, named
         self.parts: list[tuple[np.ndarray, np.ndarray | None]] = []
         self.run = bytearray()
         self.salt = np.uint64(xxhash.xxh64_intdigest(lang))
@@ -80,7 +83,6 @@ class Shard:
     def add(self, text: bytes) -> None:
         found = words(text)
         n = len(found)
-        self.bytes += len(text)
         self.size += n
         ends = None
         if self.named:
@@ -105,9 +107,6 @@ class Shard:
         """The ``k`` words from ``at`` on, joined by spaces."""
         return bytes(self.run[self.starts[at] : self.starts[at + k] - 1])
 
-    def support(self, support: int) -> int:
-        return max(1, -(-support * self.bytes // self.total))
-
     def phrases(self, k: int, shorter: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         """Places of the phrases of ``k`` words whose parts of ``k - 1`` words are all in
         the bitmap ``shorter``, and their hashes."""
@@ -140,15 +139,14 @@ def _holds(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def shards(batches: Iterator[pa.RecordBatch], size: int, named: bool) -> Iterator[Shard]:
-    """Shards of about ``size`` words from rows of ``lang``, ``total`` (bytes of the language) and ``text``."""
+    """Shards of about ``size`` words from rows of ``lang`` and ``text``."""
     open_: dict[str, Shard] = {}
     held = 0
     for batch in batches:
-        texts = batch.column(2).cast(pa.binary())
-        for lang, total, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
             shard = open_.get(lang)
             if shard is None:
-                shard = open_[lang] = Shard(lang, total, named)
+                shard = open_[lang] = Shard(lang, named)
             before = shard.size
             shard.add(text.as_py())
             held += shard.size - before
@@ -185,39 +183,61 @@ def unpacked(pages: bytes, low: bytes, counts: bytes, most: int) -> tuple[np.nda
     return high << np.uint32(16) | np.frombuffer(low, np.uint16), np.frombuffer(counts, np.min_scalar_type(most))
 
 
+def gathered(parts: Iterator[tuple[str, object]], most: int) -> Iterator[tuple[str, list]]:
+    """All parts of a language, or of a large task some at a time: those of the language
+    with most elements as soon as ``most`` are held."""
+    open_: dict[str, list] = {}
+    held: dict[str, int] = {}
+    for lang, part in parts:
+        open_.setdefault(lang, []).append(part)
+        held[lang] = held.get(lang, 0) + len(part)
+        while sum(held.values()) >= most:
+            full = max(held, key=held.get)
+            del held[full]
+            yield full, open_.pop(full)
+    yield from open_.items()
+
+
+def reported(
+    shards: Iterator[Shard], k: int, shorter: np.ndarray | None, ranges: int, most: int
+) -> Iterator[tuple[str, int, bytes, bytes, bytes]]:
+    """Language, and what ``packed`` makes of 32 bits of the hashes of its phrases of ``k``
+    words: a phrase once for all shards that were gathered."""
+
+    def hashed():
+        for shard in shards:
+            yield shard.lang, (shard.phrases(k, shorter)[1] >> np.uint64(32)).astype(np.uint32)
+
+    for lang, parts in gathered(hashed(), MOST_HASHES):
+        keys, counts = np.unique(np.concatenate(parts), return_counts=True)
+        for part in packed(keys, counts, ranges, most):
+            yield lang, *part
+
+
+def batched(rows: Iterator[tuple], fields: dict[str, pa.DataType], size: int) -> Iterator[pa.RecordBatch]:
+    while some := list(itertools.islice(rows, size)):
+        columns = [pa.array(c, t) for c, t in zip(zip(*some), fields.values())]
+        yield pa.RecordBatch.from_arrays(columns, list(fields))
+
+
 def mined(spark: SparkSession, texts: DataFrame, k: int, shorter, support: int, ranges: int) -> np.ndarray:
     """Bitmap of the phrases of ``k`` words that can have ``support``, given the bitmap of
     those of ``k - 1`` words (a broadcast, or None).
 
-    Shards report 32 bits of a phrase's hash and its count, packed in as many rows as
-    there are ``ranges`` of hashes; a range of a language is summed in one task. A count
-    of ``support`` is enough by itself, so no larger one travels.
+    Reports of a task are packed in as many rows as there are ``ranges`` of hashes; a range
+    of a language is summed in one task. A count of ``support`` is enough by itself, so no
+    larger one travels.
     """
 
     size, bits = SHARD, BITS
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in shards(batches, size, False):
-            least = shard.support(support)
-            _, hashes = shard.phrases(k, shorter and shorter.value)
-            keys, counts = np.unique((hashes >> np.uint64(32)).astype(np.uint32), return_counts=True)
-            often = counts >= least
-            # What the shard may have had of each phrase that it does not report.
-            parts = list(packed(keys[often], counts[often] - (least - 1), ranges, support))
-            n = len(parts)
-            columns = list(zip(*parts)) or [()] * 4
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([shard.lang] * (n + 1)),
-                    pa.array([*columns[0], -1], pa.int32()),
-                    *[pa.array([*c, b""], pa.binary()) for c in columns[1:]],
-                    pa.array([0] * n + [least - 1], pa.int64()),
-                ],
-                ["lang", "range", "pages", "low", "counts", "unseen"],
-            )
+        rows = reported(shards(batches, size, False), k, shorter and shorter.value, ranges, support)
+        fields = dict.fromkeys(("pages", "low", "counts"), pa.binary())
+        yield from batched(rows, {"lang": pa.string(), "range": pa.int32()} | fields, ranges)
 
     def add(part: pa.Table) -> pa.Table:
-        unseen, start = part.column("of_lang")[0].as_py(), part.column("range")[0].as_py()
+        start = part.column("range")[0].as_py()
         rows = zip(*(part.column(c).to_pylist() for c in ("pages", "low", "counts")))
         read = [unpacked(*row, support) for row in rows]
         keys, counts = (np.concatenate(c) for c in zip(*read))
@@ -225,18 +245,14 @@ def mined(spark: SparkSession, texts: DataFrame, k: int, shorter, support: int,
         keys = keys[order]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         sums = np.add.reduceat(counts[order], first, dtype=np.int64)
-        possible = keys[first[sums + unseen >= support]].astype(np.int64)
+        possible = keys[first[sums >= support]].astype(np.int64)
         slots = (possible + start * ((1 << 32) // ranges)) >> (32 - bits)
         at, group = np.unique(slots >> 6, return_inverse=True)
         table = np.zeros(len(at), np.uint64)
         np.bitwise_or.at(table, group, np.uint64(1) << (slots & 63).astype(np.uint64))
         return pa.table({"at": at, "bits": table.view(np.int64)})
 
-    reports = settle(
-        texts.mapInArrow(mine, "lang string, range int, pages binary, low binary, counts binary, unseen long")
-    )
-    unseen = reports.where("range = -1").groupBy("lang").agg(F.sum("unseen").alias("of_lang"))
-    told = reports.where("range >= 0").drop("unseen").join(unseen, "lang")
+    told = texts.mapInArrow(mine, "lang string, range int, pages binary, low binary, counts binary")
     words = told.groupBy("lang", "range").applyInArrow(add, "at long, bits long")
     table = words.groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
     bitmap = np.zeros(1 << (BITS - 6), np.uint64)
@@ -244,46 +260,87 @@ def mined(spark: SparkSession, texts: DataFrame, k: int, shorter, support: int,
     return bitmap
 
 
-def counted(texts: DataFrame, bitmaps) -> DataFrame:
-    """``lang``, ``k``, ``phrase`` and ``f``, the exact count of all phrases in ``bitmaps``
-    (one for each length, a broadcast); of length 0 all words."""
+def phrases_of(shard: Shard, bitmaps: list[np.ndarray]) -> pa.Table:
+    """``hash``, ``phrase`` and ``f`` of the phrases of a shard that are in ``bitmaps`` (one
+    for each length); the empty phrase has the number of all words, and no hash."""
+    hashed, names, counts = [np.zeros(1, np.uint64)], [b""], [np.array([(shard.left > 0).sum()])]
+    for k, bitmap in enumerate(bitmaps, 1):
+        at, hashes = shard.phrases(k, None if k == 1 else bitmaps[k - 2])
+        inside = _holds(bitmap, hashes)
+        at, hashes = at[inside], hashes[inside]
+        # Equal hashes of different phrases are told apart by their words.
+        keys, first, group = np.unique(hashes, return_index=True, return_inverse=True)
+        same = np.ones(len(at), bool)
+        for i in range(k):
+            same &= shard.hashes[at + i] == shard.hashes[at[first][group] + i]
+        others = np.flatnonzero(~same)
+        names += [shard.name(i, k) for i in at[first].tolist() + at[others].tolist()]
+        counts += [np.bincount(group[same], minlength=len(first)), np.ones(len(others), np.int64)]
+        hashed += [keys, hashes[others]]
+    columns = [np.concatenate(hashed), pa.array(names, pa.binary()), np.concatenate(counts)]
+    return pa.table(dict(zip(("hash", "phrase", "f"), columns)))
+
+
+def summed(tables: list[pa.Table], keys: list[str]) -> pa.Table:
+    """The sum of ``f`` for each of ``keys``."""
+    sums = pa.concat_tables(tables).group_by(keys, use_threads=False).aggregate([("f", "sum")])
+    return sums.select([*keys, "f_sum"]).rename_columns([*keys, "f"])
+
+
+def listed(
+    shards: Iterator[Shard], bitmaps: list[np.ndarray], ranges: int
+) -> Iterator[tuple[str, int, bytes, bytes]]:
+    """Language, range of hashes, and its phrases (a line each) and their counts, compressed:
+    a phrase once for all shards that were gathered."""
+    packer = zstandard.ZstdCompressor()
+    for lang, parts in gathered(((s.lang, phrases_of(s, bitmaps)) for s in shards), MOST_PHRASES):
+        sums = summed(parts, ["hash", "phrase"]).sort_by("hash")
+        ends = (np.arange(1, ranges, dtype=np.uint64)) << np.uint64(65 - ranges.bit_length())
+        ends = [0, *np.searchsorted(sums["hash"].to_numpy(), ends).tolist(), len(sums)]
+        for r, (lo, hi) in enumerate(itertools.pairwise(ends)):
+            if lo < hi:
+                part = sums.slice(lo, hi - lo)
+                counts = part["f"].to_numpy()
+                counts = counts.astype(np.min_scalar_type(counts.max()))
+                lines = b"\n".join(part["phrase"].to_pylist())
+                yield lang, r, packer.compress(lines), packer.compress(counts.tobytes())
+
+
+def unlisted(lines: bytes, counts: bytes) -> pa.Table:
+    """``phrase`` and ``f`` of a part of ``listed``."""
+    text = pa.array([zstandard.decompress(lines)], pa.binary()).cast(pa.string())
+    phrase = pc.split_pattern(text, "\n").flatten()
+    numbers = zstandard.decompress(counts)
+    kind = np.dtype(f"u{len(numbers) // len(phrase)}")
+    return pa.table({"phrase": phrase, "f": np.frombuffer(numbers, kind).astype(np.int64)})
+
+
+def counted(texts: DataFrame, bitmaps, support: int, ranges: int) -> DataFrame:
+    """``lang``, ``k``, ``phrase`` and ``f``, the exact count of the phrases in ``bitmaps``
+    (one for each length, a broadcast) that have ``support``; of length 0 all words.
+
+    As in ``mined`` a range of hashes of a language is summed in one task, but by phrases.
+    """
 
     size = SHARD
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in shards(batches, size, True):
-            sizes, phrases, counts = [0], [b""], [int((shard.left > 0).sum())]
-            for k, bitmap in enumerate(bitmaps.value, 1):
-                at, hashes = shard.phrases(k, None if k == 1 else bitmaps.value[k - 2])
-                inside = _holds(bitmap, hashes)
-                at, hashes = at[inside], hashes[inside]
-                # Equal hashes of different phrases are told apart by their words.
-                ids, names = {}, []
-                _, first, group = np.unique(hashes, return_index=True, return_inverse=True)
-                for i in first.tolist():
-                    names.append(shard.name(at[i], k))
-                same = np.ones(len(at), bool)
-                for i in range(k):
-                    same &= shard.hashes[at + i] == shard.hashes[at[first][group] + i]
-                totals = np.bincount(group[same], minlength=len(first))
-                for i in at[~same].tolist():
-                    name = shard.name(i, k)
-                    ids[name] = ids.get(name, 0) + 1
-                sizes += [k] * (len(names) + len(ids))
-                phrases += names + list(ids)
-                counts += totals.tolist() + list(ids.values())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([shard.lang] * len(sizes)),
-                    pa.array(sizes, pa.int32()),
-                    pa.array(phrases, pa.binary()).cast(pa.string()),
-                    pa.array(counts, pa.int64()),
-                ],
-                ["lang", "k", "phrase", "f"],
-            )
-
-    found = texts.mapInArrow(count, "lang string, k int, phrase string, f long")
-    return found.groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
+        rows = listed(shards(batches, size, True), bitmaps.value, ranges)
+        fields = dict.fromkeys(("lines", "counts"), pa.binary())
+        yield from batched(rows, {"lang": pa.string(), "range": pa.int32()} | fields, ranges)
+
+    def add(part: pa.Table) -> pa.Table:
+        rows = zip(part.column("lines").to_pylist(), part.column("counts").to_pylist())
+        sums = summed([unlisted(*row) for row in rows], ["phrase"])
+        empty = pc.equal(sums["phrase"], "")
+        sums = sums.filter(pc.or_(pc.greater_equal(sums["f"], support), empty))
+        k = pc.add(pc.count_substring(sums["phrase"], " "), 1)
+        k = pc.if_else(pc.equal(sums["phrase"], ""), 0, k).cast(pa.int32())
+        lang = pa.array([part.column("lang")[0].as_py()] * len(sums), pa.string())
+        return pa.table({"lang": lang, "k": k, "phrase": sums["phrase"], "f": sums["f"]})
+
+    told = texts.mapInArrow(count, "lang string, range int, lines binary, counts binary")
+    return told.groupBy("lang", "range").applyInArrow(add, "lang string, k int, phrase string, f long")
 
 
 def scored(frequent: DataFrame) -> DataFrame:
@@ -343,11 +400,10 @@ def collocations(
     with ``support`` equal phrases, gives no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
-    plain = docs.select(
+    texts = docs.select(
         F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    sizes = settle(plain.groupBy("lang").agg(F.greatest(F.sum(F.octet_length("text")), F.lit(1)).alias("total")))
-    texts = plain.join(sizes, "lang").select("lang", "total", "text")
+    sizes = texts.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("total"))
     total = sizes.agg(F.max("total")).first()[0] or 1
     ranges = min(MOST_RANGES, max(LEAST_RANGES, 1 << (total // RANGE_BYTES).bit_length()))
     bitmaps, shared = [], None
@@ -358,7 +414,7 @@ def collocations(
         shared = spark.sparkContext.broadcast(bitmaps[-1])
     shared.unpersist()
     every = spark.sparkContext.broadcast(bitmaps)
-    counts = settle(counted(texts, every).where(f"f >= {support} or k = 0"))
+    counts = settle(counted(texts, every, support, ranges))
     every.unpersist()
     best = _first(scored(counts.where("k > 0")), keep)
     totals = counts.where("k = 0").select("lang", F.col("f").alias("n"))

@@ -234,3 +234,49 @@ def test_reports_travel_packed():
     assert last[0] == 1_023
     assert [x.tolist() for x in phrases.unpacked(*last[1:], 100_000)] == [[(1 << 22) - 1], [70_000]]
     assert list(phrases.packed(keys[:0], counts[:0], 64, 30)) == []
+
+
+def test_candidates_are_those_with_support(spark, monkeypatch):
+    """However many shards a task has, a phrase below the support is no candidate."""
+    import numpy as np
+
+    monkeypatch.setattr(phrases, "SHARD", 48)
+    told = [("en", f"often n{i // 6} seldom{i % 9}") for i in range(240)] + [("de", "often")] * 29
+    texts = spark.createDataFrame(told, "lang string, text string").coalesce(1)
+    bitmap = phrases.mined(spark, texts, 1, None, 25, 16)
+    assert int(np.bitwise_count(bitmap).sum()) == 1 + 9 + 1
+
+
+def shards_of(text, n, lang="en"):
+    for _ in range(n):
+        shard = phrases.Shard(lang)
+        shard.add(text.encode())
+        shard.close()
+        yield shard
+
+
+def test_task_tells_a_phrase_once(monkeypatch):
+    """What a task sends does not grow with its shards while they say the same."""
+    import numpy as np
+
+    text = " ".join(f"word{i} É{i % 7}." for i in range(3_000))
+    every = [np.full(1, 2**64 - 1, np.uint64)] * 4
+    seen = []
+    for n in (1, 9):
+        told = list(phrases.reported(shards_of(text, n), 2, None, 16, 30))
+        rows = list(phrases.listed(shards_of(text, n), every, 16))
+        assert len(told) == len({r for _, r, *_ in told}) and len(rows) == len({r for _, r, *_ in rows}) == 16
+        assert sum(phrases.unpacked(*r, 30)[1].sum() for _, _, *r in told) == 3_000 * n
+        found = {p: f for *_, a, b in rows for p, f in zip(*phrases.unlisted(a, b).to_pydict().values())}
+        assert found[""] == 6_000 * n and found["word17 É3"] == n and found["É1"] == 429 * n
+        assert len(found) == 1 + 3_000 + 7 + 3_000
+        seen.append(sum(len(b) for row in [*told, *rows] for b in row[2:]))
+        assert sum(len(a) for *_, a, _ in rows) < 8 * len(found)
+    assert seen[1] <= 1.2 * seen[0]
+    # A large task sends some at a time: nothing is lost, and the largest language goes first.
+    monkeypatch.setattr(phrases, "MOST_PHRASES", 7_000)
+    mixed = [x for pair in zip(shards_of(text, 3), shards_of("a b. a", 3, "xx")) for x in pair]
+    rows = list(phrases.listed(iter(mixed), every, 16))
+    found = [(lang, p, f) for lang, _, a, b in rows for p, f in zip(*phrases.unlisted(a, b).to_pydict().values())]
+    assert [f for lang, p, f in found if (lang, p) == ("en", "")] == [12_000, 6_000]
+    assert [(p, f) for lang, p, f in sorted(found) if lang == "xx"] == [("", 9), ("a", 6), ("a b", 3), ("b", 3)]
