@@ -260,10 +260,15 @@ def mined(spark: SparkSession, texts: DataFrame, k: int, shorter, support: int,
     return bitmap
 
 
-def phrases_of(shard: Shard, bitmaps: list[np.ndarray]) -> pa.Table:
+def phrases_of(shard: Shard, bitmaps: list[np.ndarray]) -> Iterator[pa.Table]:
     """``hash``, ``phrase`` and ``f`` of the phrases of a shard that are in ``bitmaps`` (one
-    for each length); the empty phrase has the number of all words, and no hash."""
-    hashed, names, counts = [np.zeros(1, np.uint64)], [b""], [np.array([(shard.left > 0).sum()])]
+    for each length, as the tables); the empty phrase has the number of all words, and no
+    hash."""
+
+    def table(hashes: np.ndarray, names: list[bytes], counts: np.ndarray) -> pa.Table:
+        return pa.table({"hash": hashes, "phrase": pa.array(names, pa.binary()), "f": counts})
+
+    yield table(np.zeros(1, np.uint64), [b""], np.array([(shard.left > 0).sum()]))
     for k, bitmap in enumerate(bitmaps, 1):
         at, hashes = shard.phrases(k, None if k == 1 else bitmaps[k - 2])
         inside = _holds(bitmap, hashes)
@@ -274,11 +279,11 @@ def phrases_of(shard: Shard, bitmaps: list[np.ndarray]) -> pa.Table:
         for i in range(k):
             same &= shard.hashes[at + i] == shard.hashes[at[first][group] + i]
         others = np.flatnonzero(~same)
-        names += [shard.name(i, k) for i in at[first].tolist() + at[others].tolist()]
-        counts += [np.bincount(group[same], minlength=len(first)), np.ones(len(others), np.int64)]
-        hashed += [keys, hashes[others]]
-    columns = [np.concatenate(hashed), pa.array(names, pa.binary()), np.concatenate(counts)]
-    return pa.table(dict(zip(("hash", "phrase", "f"), columns)))
+        names = [shard.name(i, k) for i in at[first].tolist() + at[others].tolist()]
+        counts = np.bincount(group[same], minlength=len(first))
+        yield table(
+            np.concatenate([keys, hashes[others]]), names, np.concatenate([counts, np.ones(len(others), np.int64)])
+        )
 
 
 def summed(tables: list[pa.Table], keys: list[str]) -> pa.Table:
@@ -293,7 +298,8 @@ def listed(
     """Language, range of hashes, and its phrases (a line each) and their counts, compressed:
     a phrase once for all shards that were gathered."""
     packer = zstandard.ZstdCompressor()
-    for lang, parts in gathered(((s.lang, phrases_of(s, bitmaps)) for s in shards), MOST_PHRASES):
+    found = ((shard.lang, table) for shard in shards for table in phrases_of(shard, bitmaps))
+    for lang, parts in gathered(found, MOST_PHRASES):
         sums = summed(parts, ["hash", "phrase"]).sort_by("hash")
         ends = (np.arange(1, ranges, dtype=np.uint64)) << np.uint64(65 - ranges.bit_length())
         ends = [0, *np.searchsorted(sums["hash"].to_numpy(), ends).tolist(), len(sums)]
