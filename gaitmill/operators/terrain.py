@@ -352,13 +352,15 @@ def crop_faces(
     densely per terrain and cut into pages, motions meet the pages that their box
     touches, and what a motion uses of a page is only counted first. The sums of those
     counts are where a motion's numbers start in each page. Faces across pages are put
-    together from their pages.
+    together from their pages. Settled tables of repeated values are far smaller as files
+    than as rows, so what grows with motions, vertices or faces is sorted and merged where
+    it is joined: a broadcast would hold all of it.
     """
     box = points.groupBy(key).agg(
         *[f(c).alias(f"_{n}_{c}") for c in "xy" for n, f in (("min", F.min), ("max", F.max))]
     )
     boxes = motion_terrain.select(F.col(key).alias("_key"), "terrain_hash").join(
-        box.withColumnRenamed(key, "_key"), "_key", "left"
+        box.withColumnRenamed(key, "_key").hint("merge"), "_key", "left"
     )
     # As in comparisons of columns, NaN lies above all numbers.
     limits = {f"_low_{c}": F.col(f"_min_{c}") - margin for c in "xy"}
@@ -373,7 +375,9 @@ def crop_faces(
     touched = F.lit(True)
     for c in "xy":
         touched = touched & (F.col(f"_min_{c}") <= F.col(f"_high_{c}")) & (F.col(f"_max_{c}") >= F.col(f"_low_{c}"))
-    blocks = boxes.groupBy("terrain_hash").agg(F.ceil(F.count(F.lit(1)) / MOTIONS).cast("long").alias("_blocks"))
+    blocks = settle(
+        boxes.groupBy("terrain_hash").agg(F.ceil(F.count(F.lit(1)) / MOTIONS).cast("long").alias("_blocks"))
+    )
     visits = settle(
         boxes.join(blocks, "terrain_hash")
         .withColumn("_block", F.pmod(F.xxhash64("_key"), F.col("_blocks")))
@@ -389,14 +393,15 @@ def crop_faces(
     def met(faces: DataFrame, motions: DataFrame, task, schema: str) -> DataFrame:
         return faces.groupBy(*by).cogroup(motions.groupBy(*by)).applyInArrow(task, schema)
 
-    counts = settle(met(copied, visits, functools.partial(_count_used, PAGE), f"_key {kind}, terrain_hash string, _page long, _used long"))
-    starts = (
+    visit = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in visits.schema)
+    counts = settle(met(copied, visits, functools.partial(_count_used, PAGE), f"{visit}, _used long"))
+    placed = settle(
         Track.of(counts, ["_key", "terrain_hash"], ["_page"], max_rows=max_rows)
         .running(sums={"_upto": F.col("_used")})
         .result()
-        .select("_key", "terrain_hash", "_page", (F.col("_upto") - F.col("_used")).alias("_start"))
+        .withColumn("_start", F.col("_upto") - F.col("_used"))
+        .drop("_upto", "_used")
     )
-    placed = settle(visits.join(starts, ["_key", "terrain_hash", "_page"]))
     columns = [f"new_{n}" for n in "abc"]
     types = {t.name: t.dataType.simpleString() for t in faces.schema}
     made = ", ".join(
@@ -414,10 +419,19 @@ def crop_faces(
         )
         whole = parts.groupBy(key, "instance_idx", "face_idx").agg(*[F.max(c).alias(c) for c in columns])
         out = out.unionByName(whole)
-    used = counts.select("_key", "terrain_hash").distinct()
+    used = counts.select("_key", "terrain_hash").distinct().hint("merge")
     empty = boxes.join(used, ["_key", "terrain_hash"], "left_anti").select(F.col("_key").alias(key), "terrain_hash")
-    every = faces.select("terrain_hash", "instance_idx", "face_idx", *[F.col(f"_{n}").alias(f"new_{n}") for n in "abc"])
-    return out.unionByName(empty.join(every, "terrain_hash").drop("terrain_hash"))
+    empty = settle(empty)
+    if empty.limit(1).count():
+        # Such motions have all faces: each in the page of its first vertex.
+        every = faces.select(
+            "terrain_hash", F.floor(F.col("_a") / PAGE).alias("_page"), "instance_idx", "face_idx",
+            *[F.col(f"_{n}").alias(f"new_{n}") for n in "abc"],
+        )
+        paged = empty.join(extent.select("terrain_hash", "_page").hint("merge"), "terrain_hash")
+        whole = paged.join(every.hint("merge"), ["terrain_hash", "_page"])
+        out = out.unionByName(whole.drop("terrain_hash", "_page"))
+    return out
 
 
 def _dense_faces(triangles: DataFrame, max_rows: int) -> DataFrame:
@@ -438,7 +452,7 @@ def _dense_faces(triangles: DataFrame, max_rows: int) -> DataFrame:
     )
     for n in "abc":
         renamed = places.withColumnsRenamed({"_vertex": n, "_place": f"_{n}"})
-        faces = faces.join(renamed, ["terrain_hash", n])
+        faces = faces.join(renamed.hint("merge"), ["terrain_hash", n])
     return settle(faces.drop("a", "b", "c"))
 
 
@@ -469,13 +483,12 @@ def _inside(size: int, faces: pa.Table, motions: pa.Table) -> tuple[np.ndarray,
 
 
 def _count_used(size: int, faces: pa.Table, motions: pa.Table) -> pa.Table:
-    """Number of vertices of a page that each motion uses, where it uses any."""
+    """The motions that use vertices of a page, and how many of them."""
     counts = np.empty(0, np.int64)
     if faces.num_rows and motions.num_rows:
         counts = _inside(size, faces, motions)[2].sum(axis=1, dtype=np.int64)
     some = np.flatnonzero(counts)
-    kept = motions.select(["_key", "terrain_hash", "_page"]).take(pa.array(some))
-    return kept.append_column("_used", pa.array(counts[some]))
+    return motions.take(pa.array(some)).append_column("_used", pa.array(counts[some]))
 
 
 def _number_used(

@@ -252,3 +252,20 @@ def test_crop_never_moves_its_result(spark):
     new = set(folder.glob("settled-*")) - old
     assert got.count() == 400 * 600
     assert sum(spark.read.parquet(str(p)).count() for p in new) < 20_000
+
+
+def test_crop_broadcasts_neither_motions_nor_faces(spark, monkeypatch):
+    """Files of settled tables say little about their rows; only terrains and pages are small."""
+    planned = []
+    monkeypatch.setattr(te, "settle", lambda df: planned.append(df) or shared.settle(df))
+    faces = spark.range(600).selectExpr(
+        "'A' AS terrain_hash", "id AS instance_idx", "0 AS face_idx", "3 * id AS a", "3 * id + 1 AS b", "3 * id + 2 AS c",
+        *[f"cast(id % 9 AS double) AS {n}{k}" for n in "xyz" for k in range(3)],
+    )
+    points = spark.range(40).selectExpr("id AS seg_id", "4D AS x", "0D AS y", "'A' AS terrain_hash")
+    motions = spark.range(42).selectExpr("id AS seg_id", "'A' AS terrain_hash")
+    got = te.crop_faces(faces, points, motions)
+    sent = [part for df in [*planned, got] for part in broadcast_parts(df)]
+    assert planned and not [part for part in sent if re.search(r"\b(_key|seg_id|_vertex|_place|instance_idx)\b", part)]
+    near = sum(1 <= i % 9 <= 3 for i in range(600))
+    assert got.count() == 40 * near + 2 * 600
